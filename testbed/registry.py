@@ -24,7 +24,13 @@ from yearloom.fixed import (
     SENTINEL,
     TEMPERATURES_DATASET,
 )
-from yearloom.functions import as_measure, cleaned_year, is_leap_year, title_name, without_sentinel
+from yearloom.functions import (
+    cleaned_year,
+    is_leap_year,
+    measure_in_text,
+    title_name,
+    without_sentinel,
+)
 from yearloom.scratch import scratch_dir
 
 # The generated years run from 1995 to 2001.
@@ -283,7 +289,7 @@ def _(spark, sf_dir):
 FROM (SELECT TRY_CAST({_CLEAN} AS float) AS x FROM dirty_readings )"""),
 )
 def _(spark, sf_dir):
-    value = as_measure(without_sentinel(F.col("AverageTemperature"))).alias("x")
+    value = measure_in_text(without_sentinel(F.col("AverageTemperature"))).alias("x")
     return op.null_counts(v.dirty_readings(spark, sf_dir).select(value), "x")
 
 
@@ -359,7 +365,11 @@ def _(spark, sf_dir):
 WHERE Country IN {_OCEANIA} ORDER BY 1, 2, 3"""),
 )
 def _(spark, sf_dir):
-    return op.country_temperature_series(op.without_continents(country_panel(spark, sf_dir)))
+    panel = op.country_panel(
+        op.keep_entities(emissions(spark, sf_dir), OCEANIA_TWO),
+        op.keep_entities(temperatures(spark, sf_dir), OCEANIA_TWO),
+    )
+    return op.country_temperature_series(op.without_continents(panel))
 
 
 @_register(

@@ -113,7 +113,17 @@ def emission_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _dirty_columns(name: Column, all_junk: Column) -> list[Column]:
+def _spellings(name: Column, all_junk: Column) -> list[Column]:
+    # On the small side of a join, so that it is not done again for each reading.
+    padded = F.concat(F.lit("  "), name, F.lit(" "))
+    return [
+        F.upper(padded).alias("loud"),
+        F.lower(padded).alias("quiet"),
+        all_junk.alias("all_junk"),
+    ]
+
+
+def _dirty(lines: DataFrame) -> DataFrame:
     line = F.col("l_linenumber")
     wrapped = F.concat(
         F.lit(SENTINEL),
@@ -121,40 +131,43 @@ def _dirty_columns(name: Column, all_junk: Column) -> list[Column]:
         F.lit(SENTINEL),
     )
     reading = (
-        F.when(all_junk, "?")
+        F.when(F.col("all_junk"), "?")
         .when(line % 7 == 0, "-")
         .when(line % 5 == 0, "#")
         .otherwise(wrapped)
     )
-    case = F.when(line % 2 == 0, F.upper(name)).otherwise(F.lower(name))
-    return [
+    return lines.select(
         F.date_format("l_shipdate", "MM-dd-yyyy").alias("Date"),
-        F.concat(F.lit("  "), case, F.lit(" ")).alias("Country"),
+        F.when(line % 2 == 0, F.col("loud")).otherwise(F.col("quiet")).alias("Country"),
         reading.alias("AverageTemperature"),
-    ]
+    )
+
+
+def _lines(spark: SparkSession, sf_dir: str, key: str, name: str) -> DataFrame:
+    return table(spark, sf_dir, "lineitem").select(
+        F.col(key).alias(name), "l_linenumber", "l_quantity", "l_shipdate"
+    )
 
 
 def dirty_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Untidy temperature readings of the supplier's nation, one per line item."""
-    suppliers = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
-    lines = table(spark, sf_dir, "lineitem").select(
-        F.col("l_suppkey").alias("s_suppkey"), "l_linenumber", "l_quantity", "l_shipdate"
-    )
     nation = F.col("s_nationkey")
-    return lines.join(suppliers, "s_suppkey").select(
-        *_dirty_columns(_nation_name(nation), nation == JUNK_NATION)
+    suppliers = table(spark, sf_dir, "supplier").select(
+        "s_suppkey", *_spellings(_nation_name(nation), nation == JUNK_NATION)
     )
+    return _dirty(_lines(spark, sf_dir, "l_suppkey", "s_suppkey").join(suppliers, "s_suppkey"))
 
 
 def customer_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Untidy temperature readings of the ordering customer, one per line item."""
-    lines = table(spark, sf_dir, "lineitem").select(
-        F.col("l_orderkey").alias("o_orderkey"), "l_linenumber", "l_quantity", "l_shipdate"
+    customers = table(spark, sf_dir, "customer").select(
+        "c_custkey", *_spellings(F.col("c_name"), F.col("c_nationkey") == JUNK_NATION)
     )
-    orders = _orders_by_customer(spark, sf_dir).select("o_orderkey", "c_name", "c_nationkey")
-    return lines.join(orders, "o_orderkey").select(
-        *_dirty_columns(F.col("c_name"), F.col("c_nationkey") == JUNK_NATION)
+    orders = table(spark, sf_dir, "orders").select(
+        "o_orderkey", F.col("o_custkey").alias("c_custkey")
     )
+    lines = _lines(spark, sf_dir, "l_orderkey", "o_orderkey")
+    return _dirty(lines.join(orders.join(customers, "c_custkey"), "o_orderkey"))
 
 
 def global_readings(spark: SparkSession, sf_dir: str) -> DataFrame:

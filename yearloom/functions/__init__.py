@@ -2,7 +2,7 @@
 
 from yearloom.functions.names import compact_name, database_name, storable_name
 from yearloom.functions.text import short_name, title_name, without_sentinel
-from yearloom.functions.values import as_measure, cleaned_year, is_leap_year
+from yearloom.functions.values import as_measure, cleaned_year, is_leap_year, measure_in_text
 
 __all__ = [
     "as_measure",
@@ -10,6 +10,7 @@ __all__ = [
     "compact_name",
     "database_name",
     "is_leap_year",
+    "measure_in_text",
     "short_name",
     "storable_name",
     "title_name",

@@ -7,13 +7,33 @@ from yearloom.fixed import DATE_PATTERN
 
 
 def as_measure(value: Column) -> Column:
-    """A 32-bit float, or NULL where the text is no number."""
+    """A 32-bit float, or NULL where the value is no number."""
     return value.try_cast("float")
 
 
+def measure_in_text(text: Column) -> Column:
+    """``as_measure`` for text columns with much junk: same results, less work.
+
+    A failed cast raises and catches an exception for that row. Whatever can be
+    read as a number has a digit or, as ``nan`` and ``inf`` have, an n in it;
+    text without either is NULL without being cast.
+    """
+    return F.when(text.rlike("[0-9nN]"), as_measure(text))
+
+
+def _month_first_year(text: Column) -> Column:
+    # Rearranged to the ISO form, which Spark reads without a formatter.
+    iso = F.concat_ws("-", text.substr(7, 4), text.substr(1, 2), text.substr(4, 2))
+    return F.when(text.rlike(r"^[0-9]{2}-[0-9]{2}-[0-9]{4}\z"), F.year(iso.try_cast("date")))
+
+
 def cleaned_year(text: Column, pattern: str = DATE_PATTERN) -> Column:
     """The year of a date text, or NULL where it does not fit ``pattern``."""
-    return F.year(F.try_to_timestamp(text, F.lit(pattern)))
+    general = F.year(F.try_to_timestamp(text, F.lit(pattern)))
+    if pattern != DATE_PATTERN:
+        return general
+    # The short way covers all usual dates; the rest are left to the pattern.
+    return F.coalesce(_month_first_year(text), general)
 
 
 def is_leap_year(year: Column) -> Column:

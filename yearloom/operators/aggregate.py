@@ -8,7 +8,7 @@ that holds most of the rows costs no more to shuffle than any other.
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from yearloom.functions import as_measure, cleaned_year, title_name, without_sentinel
+from yearloom.functions import cleaned_year, measure_in_text, title_name, without_sentinel
 
 
 def yearly_total(emissions: DataFrame, measure: str = "TotalEmissions") -> DataFrame:
@@ -34,7 +34,7 @@ def clean_readings(dirty: DataFrame) -> DataFrame:
     return dirty.select(
         cleaned_year(F.col("Date")).alias("Year"),
         title_name(F.col("Country")).alias("Country"),
-        as_measure(without_sentinel(F.col("AverageTemperature"))).alias("AverageTemperature"),
+        measure_in_text(without_sentinel(F.col("AverageTemperature"))).alias("AverageTemperature"),
     )
 
 

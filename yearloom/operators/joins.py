@@ -1,6 +1,8 @@
 """Joins of panels with each other and with a lookup."""
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -27,15 +29,25 @@ def salted_join(
     again after a lost executor gives its rows the same salt again.
 
     The right side should be the smaller one, as an aggregate or lookup is.
-    NULL keys match nothing; a left join keeps their rows.
+    NULL keys match nothing; a left join keeps their rows. Filter the inputs
+    rather than the result: no filter moves down past the salt.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"a salted join is inner or left, not {how!r}")
-    if salts <= 1:
-        return many.join(few, on=list(keys), how=how)
     left = many.withColumn(_SALT, F.spark_partition_id() % salts)
-    right = few.withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return left.join(right, on=[*keys, _SALT], how=how).drop(_SALT)
+    salted = few.withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    right_names = {k: f"__few_{k}" for k in [*keys, _SALT]}
+    right = salted.withColumnsRenamed(right_names)
+    # Plain equality would make Spark filter the right side on non-NULL keys,
+    # below its aggregation: keys made by cleaning text would be computed twice
+    # for each raw row, and a shuffle shared with the left side would be lost.
+    condition = [F.col(k).eqNullSafe(F.col(right_names[k])) for k in right_names]
+    known = [F.col(k).isNotNull() for k in keys]
+    if how == "inner":
+        left = left.filter(reduce(and_, known))
+    else:
+        condition += known
+    return left.join(right, condition, how).drop(_SALT, *right_names.values())
 
 
 def global_panel(total_emissions: DataFrame, temperatures: DataFrame) -> DataFrame:
