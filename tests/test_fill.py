@@ -117,3 +117,12 @@ def test_other_columns_stay(spark):
             .withColumn("TotalEmissions", F.lit(1.0).cast("float"))
             .collect()
         }
+
+
+def test_flag_may_be_a_python_function(spark):
+    emissions = emission_rows(spark, (1999, "A", 1.0), (2000, "A", 2.0), (2001, "A", 3.0))
+    rows = emissions.select("Year", "Country", "TotalEmissions")
+    odd_rule = F.udf(lambda year: calendar.isleap(year), "boolean")
+    for unique in (True, False):
+        filled = op.fill_flagged(rows, odd_rule(F.col("Year")), unique=unique)
+        assert_rows(filled, OUT, (1999, "A", 1.0), (2000, "A", 1.0), (2001, "A", 3.0))

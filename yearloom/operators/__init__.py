@@ -14,9 +14,10 @@ from yearloom.operators.joins import (
     country_panel,
     fits_broadcast,
     global_panel,
-    salted_join,
+    skew_safe_join,
     with_continent,
 )
+from yearloom.operators.order import in_order
 from yearloom.operators.questions import (
     largest_emitters,
     rank_polluters,
@@ -62,13 +63,14 @@ __all__ = [
     "from_year",
     "global_panel",
     "hottest_countries",
+    "in_order",
     "keep_entities",
     "largest_emitters",
     "leap_year_fill",
     "lengthen",
     "null_counts",
     "rank_polluters",
-    "salted_join",
+    "skew_safe_join",
     "temperature_anomalies",
     "top_emitters",
     "top_observations",

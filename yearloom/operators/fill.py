@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from yearloom.fixed import FILL_AHEAD_YEARS, FILL_BACK_YEARS, OCEANIA_TWO
 from yearloom.functions import is_leap_year
-from yearloom.operators.joins import SALTS, salted_join
+from yearloom.operators.joins import skew_safe_join
 from yearloom.operators.shape import keep_entities
 
 
@@ -31,7 +31,7 @@ def fill_flagged(
     back: int = FILL_BACK_YEARS,
     ahead: int = FILL_AHEAD_YEARS,
     unique: bool = False,
-    salts: int = SALTS,
+    salts: int = 1,
 ) -> DataFrame:
     """Replace ``value`` where ``flag`` holds; other rows and columns stay.
 
@@ -44,7 +44,7 @@ def fill_flagged(
     and the work is a single window with a single shuffle. Otherwise a key may
     repeat without limit: its rows are first reduced to one per order value,
     the largest, so that the window sees only as many rows as there are order
-    values, and the replacements are joined back by a salted join.
+    values, and the replacements are joined back by ``skew_safe_join``.
     """
     if unique:
         nearest = _neighbour(key, order, value, back, ahead)
@@ -55,7 +55,7 @@ def fill_flagged(
     fills = steps.select(key, order, nearest).filter("__nearest IS NOT NULL")
     filled = F.when(flag, F.col("__nearest")).otherwise(F.col(value))
     return (
-        salted_join(df, fills, [key, order], "left", salts)
+        skew_safe_join(df, fills, [key, order], "left", salts)
         .withColumn(value, filled)
         .select(*df.columns)
     )

@@ -9,45 +9,54 @@ from pyspark.sql import functions as F
 
 from yearloom.functions import short_name
 
-SALTS = 16
 BROADCAST_MAX_BYTES = 8 * 1024 * 1024
 _SALT = "__salt"
 
 
-def salted_join(
+def skew_safe_join(
     many: DataFrame,
     few: DataFrame,
     keys: Sequence[str],
     how: str = "inner",
-    salts: int = SALTS,
+    salts: int = 1,
 ) -> DataFrame:
     """Equi-join whose left side may hold most of its rows under one key.
 
-    Each left row carries a salt, and each right row is repeated once per salt,
-    so the rows of one key go to up to ``salts`` tasks. The salt is the number
-    of the input partition: it splits identical rows too, and a task that runs
-    again after a lost executor gives its rows the same salt again.
+    Both sides are shuffled for the join itself, also a right side that an
+    aggregation has already hashed on the keys. Only then can adaptive
+    execution split a left partition that turns out too large, over as many
+    tasks as its size asks for, or send a right side that turns out small to
+    all tasks. Nothing is repeated for the keys that are not hot.
 
-    The right side should be the smaller one, as an aggregate or lookup is.
-    NULL keys match nothing; a left join keeps their rows. Filter the inputs
-    rather than the result: no filter moves down past the salt.
+    ``salts`` above 1 is for sessions without adaptive execution: the rows of
+    each key go to up to ``salts`` tasks and each right row is repeated as many
+    times. The salt is the number of the input partition, so it splits
+    identical rows too, and a task that runs again after a lost executor gives
+    its rows the same salt again. Filter the inputs of a salted join rather
+    than its result, as no filter moves down past the salt.
+
+    NULL keys match nothing; a left join keeps their rows.
     """
     if how not in ("inner", "left"):
-        raise ValueError(f"a salted join is inner or left, not {how!r}")
-    left = many.withColumn(_SALT, F.spark_partition_id() % salts)
-    salted = few.withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    right_names = {k: f"__few_{k}" for k in [*keys, _SALT]}
-    right = salted.withColumnsRenamed(right_names)
-    # Plain equality would make Spark filter the right side on non-NULL keys,
-    # below its aggregation: keys made by cleaning text would be computed twice
-    # for each raw row, and a shuffle shared with the left side would be lost.
-    condition = [F.col(k).eqNullSafe(F.col(right_names[k])) for k in right_names]
+        raise ValueError(f"the join is inner or left, not {how!r}")
+    on = list(keys)
+    if salts > 1:
+        many = many.withColumn(_SALT, F.spark_partition_id() % salts)
+        few = few.withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+        on.append(_SALT)
+    right_names = {k: f"__few_{k}" for k in on}
+    # Null-safe equality is what brings about the shuffle of both sides. Plain
+    # equality would also filter the right side on non-NULL keys, below its
+    # aggregation: keys made by cleaning text would be computed twice for each
+    # raw row, and a shuffle shared with the left side would be lost.
+    condition = [F.col(k).eqNullSafe(F.col(right_names[k])) for k in on]
     known = [F.col(k).isNotNull() for k in keys]
     if how == "inner":
-        left = left.filter(reduce(and_, known))
+        many = many.filter(reduce(and_, known))
     else:
         condition += known
-    return left.join(right, condition, how).drop(_SALT, *right_names.values())
+    joined = many.join(few.withColumnsRenamed(right_names), condition, how)
+    return joined.drop(_SALT, *right_names.values())
 
 
 def global_panel(total_emissions: DataFrame, temperatures: DataFrame) -> DataFrame:
@@ -60,14 +69,14 @@ def global_panel(total_emissions: DataFrame, temperatures: DataFrame) -> DataFra
 
 
 def country_panel(
-    emissions: DataFrame, temperatures: DataFrame, salts: int = SALTS
+    emissions: DataFrame, temperatures: DataFrame, salts: int = 1
 ) -> DataFrame:
     """Emissions beside the mean temperature of the same year and country.
 
     Names must agree exactly: title-cased temperature names such as
     ``Bosnia And Herzegovina`` find no emissions row and are dropped.
     """
-    return salted_join(emissions, temperatures, ["Year", "Country"], "inner", salts)
+    return skew_safe_join(emissions, temperatures, ["Year", "Country"], "inner", salts)
 
 
 def continent_lookup(raw: DataFrame, unique: bool = False) -> DataFrame:
@@ -104,17 +113,15 @@ def with_continent(
     lookup: DataFrame,
     broadcast: bool = False,
     max_bytes: int = BROADCAST_MAX_BYTES,
-    salts: int = SALTS,
+    salts: int = 1,
 ) -> DataFrame:
     """The panel with the continent of each country, NULL where unknown.
 
-    As it stands the join is left to Spark, which broadcasts the lookup where
-    its known size is under the session's threshold and shuffles otherwise.
-    ``broadcast=True`` measures the lookup first; it is sent to every executor
-    if it fits into ``max_bytes`` and joined by salted shuffle if it does not.
+    As it stands Spark broadcasts the lookup where its known size is under the
+    session's threshold and shuffles otherwise. ``broadcast=True`` measures the
+    lookup first and sends it to every executor, whatever the threshold, if it
+    fits into ``max_bytes``.
     """
-    if not broadcast:
-        return panel.join(lookup, on="Country", how="left")
-    if fits_broadcast(lookup, max_bytes):
+    if broadcast and fits_broadcast(lookup, max_bytes):
         return panel.join(F.broadcast(lookup), on="Country", how="left")
-    return salted_join(panel, lookup, ["Country"], "left", salts)
+    return skew_safe_join(panel, lookup, ["Country"], "left", salts)

@@ -6,13 +6,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from yearloom.fixed import EUROPE_THREE, TOP_QUESTION
-from yearloom.operators.joins import SALTS, salted_join
+from yearloom.operators.joins import skew_safe_join
 from yearloom.operators.rank import top_rows
 from yearloom.operators.reshape import lengthen
 
 
 def temperature_anomalies(
-    temperatures: DataFrame, first: int, last: int, salts: int = SALTS
+    temperatures: DataFrame, first: int, last: int, salts: int = 1
 ) -> DataFrame:
     """How far each year and country lies from the country's own baseline.
 
@@ -26,7 +26,7 @@ def temperature_anomalies(
         F.avg(F.when(in_period, F.col("AverageTemperature"))).alias("Baseline")
     )
     anomaly = F.col("AverageTemperature") - F.col("Baseline")
-    return salted_join(temperatures, baselines, ["Country"], "left", salts).select(
+    return skew_safe_join(temperatures, baselines, ["Country"], "left", salts).select(
         "Year",
         "Country",
         "AverageTemperature",
@@ -55,15 +55,32 @@ def rank_polluters(
 ) -> DataFrame:
     """Countries up to rank ``k`` by the mean of each yardstick over the years.
 
-    Countries with equal means share a rank. The rank limit sits directly on
-    the window, so that each task drops the rows below it before the shuffle.
+    Countries with equal means share a rank, and all of them are kept.
     """
     means = emissions.groupBy("Country").agg(
         *[F.avg(y).cast("float").alias(y) for y in yardsticks]
     )
     long = means.unpivot("Country", list(yardsticks), "Yardstick", "Mean").filter("Mean IS NOT NULL")
+    # Ranks are found on the different means, each with the number of countries
+    # that have it, so that a mean shared by very many is one row. No rank up
+    # to k lies below the k-th of them; the limit directly on the window lets
+    # each task drop the rest before the shuffle.
     best_first = Window.partitionBy("Yardstick").orderBy(F.desc("Mean"))
-    return long.withColumn("Rank", F.rank().over(best_first)).filter(F.col("Rank") <= k)
+    steps = (
+        long.groupBy("Yardstick", "Mean")
+        .agg(F.count("*").alias("countries"))
+        .withColumn("step", F.row_number().over(best_first))
+        .filter(F.col("step") <= k)
+    )
+    better = F.sum("countries").over(best_first.rowsBetween(Window.unboundedPreceding, -1))
+    ranks = (
+        steps.withColumn("Rank", F.coalesce(better, F.lit(0)) + 1)
+        .filter(F.col("Rank") <= k)
+        .select("Yardstick", "Mean", F.col("Rank").cast("int").alias("Rank"))
+    )
+    # At most k rows for each yardstick, so the broadcast has a fixed bound.
+    ranked = long.join(F.broadcast(ranks), ["Yardstick", "Mean"])
+    return ranked.select("Country", "Yardstick", "Mean", "Rank")
 
 
 def worst_of_widened(

@@ -1,8 +1,7 @@
 """Sorted series and top-k reports.
 
 Every order ends in the key columns, so that equal values come out in the same
-order each time and a year with very many rows is split over several sort
-partitions.
+order each time.
 """
 
 from collections.abc import Sequence
@@ -17,6 +16,7 @@ from yearloom.fixed import (
     TOP_OBSERVATIONS,
     TOP_TEMPERATURES,
 )
+from yearloom.operators.order import in_order
 from yearloom.operators.shape import after_year, drop_entities, keep_entities
 
 
@@ -53,7 +53,7 @@ def without_continents(panel: DataFrame, after: int | None = None) -> DataFrame:
 def emissions_temperature_curve(panel: DataFrame) -> DataFrame:
     """Highest land temperature against emissions, in order of emissions."""
     curve = panel.select("Year", "TotalEmissions", "LandMaxTemperature")
-    return curve.orderBy("TotalEmissions", "Year")
+    return in_order(curve, ["TotalEmissions", "Year"])
 
 
 def country_series(panel: DataFrame, by: str = "Year") -> DataFrame:
@@ -62,7 +62,7 @@ def country_series(panel: DataFrame, by: str = "Year") -> DataFrame:
     if by not in columns:
         raise ValueError(f"a series is ordered by one of {columns}, not {by!r}")
     rest = [c for c in columns if c != by]
-    return panel.select(*columns).orderBy(by, *rest)
+    return in_order(panel.select(*columns), [by, *rest])
 
 
 def country_temperature_series(
@@ -70,4 +70,4 @@ def country_temperature_series(
 ) -> DataFrame:
     """Temperatures of the named countries in order of year."""
     columns = ["Year", "Country", "AverageTemperature"]
-    return keep_entities(panel, entities).select(*columns).orderBy(*columns)
+    return in_order(keep_entities(panel, entities).select(*columns), columns)

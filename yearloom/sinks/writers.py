@@ -3,9 +3,8 @@
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
-from pyspark.sql import functions as F
 
-_SPREAD = "__spread"
+from yearloom.operators import in_order
 
 
 def _arranged(df: DataFrame, sort_by: Sequence[str], single_file: bool) -> DataFrame:
@@ -13,16 +12,7 @@ def _arranged(df: DataFrame, sort_by: Sequence[str], single_file: bool) -> DataF
         # repartition, unlike coalesce, leaves the work before it parallel.
         one = df.repartition(1)
         return one.sortWithinPartitions(*sort_by) if sort_by else one
-    if not sort_by:
-        return df
-    # A range sort on the year alone would put a year with most of the rows
-    # into one task; the number of the input partition splits it further.
-    return (
-        df.withColumn(_SPREAD, F.spark_partition_id())
-        .repartitionByRange(*sort_by, _SPREAD)
-        .sortWithinPartitions(*sort_by)
-        .drop(_SPREAD)
-    )
+    return in_order(df, sort_by) if sort_by else df
 
 
 def _writer(df: DataFrame) -> DataFrameWriter:
