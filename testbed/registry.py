@@ -11,6 +11,7 @@ from testbed import views as v
 from yearloom import operators as op
 from yearloom import plans, sinks, sources
 from yearloom.fixed import (
+    CONTINENT_CSV_SCHEMA,
     CONTINENT_NAMES,
     COUNTRY_PANEL_DATASET,
     EMISSIONS_DATASET,
@@ -22,10 +23,13 @@ from yearloom.fixed import (
     OCEANIA_TWO,
     OUTPUT_SCHEMAS,
     SENTINEL,
+    TABLE_PREFIX,
+    TABLE_SUFFIXES,
     TEMPERATURES_DATASET,
 )
 from yearloom.functions import (
     cleaned_year,
+    database_name,
     is_leap_year,
     measure_in_text,
     title_name,
@@ -619,10 +623,40 @@ def _(spark, sf_dir):
     return spark.table(name)
 
 
-# The whole run: CSV files with awkward names in, four published panels out.
+@_register("continent_csv", _sql("SELECT * FROM customer_continents"))
+def _(spark, sf_dir):
+    raw = v.raw_customer_lookup(spark, sf_dir)
+    given = [
+        F.col(f.name) if f.name in raw.columns else F.lit(None).cast(f.dataType).alias(f.name)
+        for f in CONTINENT_CSV_SCHEMA
+    ]
+    path = _write_csv(raw.select(*given), scratch_dir(spark, "continents"))
+    return op.continent_lookup(sources.read_continents(spark, path))
+
+
+@_register("source_fallback", _sql("SELECT * FROM emissions_panel"))
+def _(spark, sf_dir):
+    # The primary place is never written, so the fallback is read.
+    primary, fallback = scratch_dir(spark, "primary"), scratch_dir(spark, "fallback")
+    sinks.write_parquet(v.emissions_panel(spark, sf_dir), f"{fallback}/{EMISSIONS_DATASET}")
+    chosen = sources.resolve_source(spark, primary, fallback, [EMISSIONS_DATASET])
+    return sources.read_parquet(spark, f"{chosen}/{EMISSIONS_DATASET}")
 
 
-def _whole_run(spark: SparkSession, sf_dir: str) -> str:
+@_register("checked_output", _sql("SELECT count(*) AS records FROM emission_records"))
+def _(spark, sf_dir):
+    path = scratch_dir(spark, "checked")
+    records = v.emission_records(spark, sf_dir)
+    sinks.write_parquet(records, path)
+    rows = sinks.check_output(spark, path, records.schema)
+    written = sources.read_parquet(spark, path)
+    return written.agg(F.count("*").alias("records")).filter(F.col("records") == rows)
+
+
+# The whole run: CSV files with awkward names in, four managed tables out.
+
+
+def _whole_run(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     base = scratch_dir(spark, "run")
     frames = {
         EMISSIONS_DATASET: _awkward(v.emissions_panel(spark, sf_dir)),
@@ -634,8 +668,10 @@ def _whole_run(spark: SparkSession, sf_dir: str) -> str:
         for name, df in frames.items()
     }
     schemas = {name: df.schema for name, df in frames.items()}
-    plans.run_pipeline(spark, csv_paths, base, schemas)
-    return f"{base}/dataTransformation"
+    user = "testbed.whole-run@example.com"
+    plans.run_pipeline(spark, csv_paths, base, schemas, user, f"{base}/tables")
+    prefix = f"{database_name(user)}.{TABLE_PREFIX}"
+    return {name: spark.table(f"{prefix}_{end}") for name, end in TABLE_SUFFIXES.items()}
 
 
 def _long(panel: DataFrame, dataset: str) -> DataFrame:
@@ -671,12 +707,8 @@ def _long_sql() -> str:
 
 @_register("whole_run", _sql(_long_sql()))
 def _(spark, sf_dir):
-    target = _whole_run(spark, sf_dir)
-    panels = [
-        _long(sources.read_parquet(spark, f"{target}/{dataset}"), dataset)
-        for dataset in _RUN_OUTPUTS
-    ]
-    return reduce(DataFrame.unionByName, panels)
+    tables = _whole_run(spark, sf_dir)
+    return reduce(DataFrame.unionByName, [_long(df, name) for name, df in tables.items()])
 
 
 def queries() -> dict[str, Run]:
