@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from testbed import registry, views
 from yearloom import operators as op
 from yearloom.functions import is_leap_year
+from yearloom.scratch import settled
 
 SMALL = str(TESTDATA / "sf0.001")
 
@@ -97,6 +98,16 @@ def test_country_panel_cleans_each_reading_once(emissions, readings):
     assert plan.count("try_cast(replace(AverageTemperature") == 1
 
 
+def test_country_panel_with_settled_temperatures_needs_no_shuffle(spark, emissions, readings):
+    temperatures = settled(op.country_temperatures(readings), "temperatures")
+    panel = op.country_panel(emissions, temperatures)
+    assert panel.dtypes[-1] == ("AverageTemperature", "float")
+    plan = plan_of(panel)
+    assert "BroadcastHashJoin" in plan and count_nodes(plan, "Exchange") == 0
+    with no_broadcast(spark):
+        assert count_nodes(plan_of(op.country_panel(emissions, temperatures)), "Exchange") == 2
+
+
 def test_anomalies_scan_the_readings_once(readings):
     anomalies = op.temperature_anomalies(op.country_temperatures(readings), 1995, 1997)
     plan = final_plan_of(anomalies)

@@ -28,6 +28,7 @@ from yearloom.operators import (
     yearly_temperatures,
     yearly_total,
 )
+from yearloom.scratch import settled
 from yearloom.sinks import check_output, write_parquet, write_tables
 from yearloom.sources import read_parquet, resolve_source
 
@@ -35,14 +36,17 @@ INGESTED = (EMISSIONS_DATASET, GLOBAL_TEMPERATURES_DATASET, TEMPERATURES_DATASET
 
 
 def published_panels(
-    emissions: DataFrame, global_readings: DataFrame, country_readings: DataFrame
+    emissions: DataFrame, global_readings: DataFrame, temperatures: DataFrame
 ) -> dict[str, DataFrame]:
-    """The four panels by dataset name, out of country emissions and raw readings."""
+    """The four panels by dataset name.
+
+    ``temperatures`` are those per year and country.
+    """
     return {
         GLOBAL_PANEL_DATASET: global_panel(
             yearly_total(emissions), yearly_temperatures(global_readings)
         ),
-        COUNTRY_PANEL_DATASET: country_panel(emissions, country_temperatures(country_readings)),
+        COUNTRY_PANEL_DATASET: country_panel(emissions, temperatures),
         EUROPE_DATASET: widen(emissions),
         OCEANIA_DATASET: leap_year_fill(emissions),
     }
@@ -71,10 +75,13 @@ def run_transformation(
         read_parquet(spark, f"{source}/{name}") for name in INGESTED
     )
     emissions = country_emissions(raw, discard)
+    # Settled first, their size decides how the panel is joined: while they are
+    # small enough to broadcast, the emissions need no shuffle for it.
+    temperatures = settled(country_temperatures(country_readings), "temperatures")
     if persist:
         emissions = emissions.persist()
     try:
-        panels = published_panels(emissions, global_readings, country_readings)
+        panels = published_panels(emissions, global_readings, temperatures)
         for name, panel in panels.items():
             keys = [c for c in ("Year", "Country") if c in panel.columns]
             write_parquet(panel, f"{target}/{name}", keys, single_file)

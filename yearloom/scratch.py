@@ -1,9 +1,9 @@
-"""Where intermediate datasets go."""
+"""Intermediate datasets."""
 
 import tempfile
 from uuid import uuid4
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def scratch_dir(spark: SparkSession, label: str) -> str:
@@ -18,3 +18,14 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         shared = tempfile.mkdtemp(prefix="yearloom-")
     return f"{shared.rstrip('/')}/yearloom-{label}-{uuid4().hex}"
+
+
+def settled(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written once to a new scratch folder and read back from there.
+
+    What follows starts from files: nothing before them is computed again, also
+    when executors are lost, and Spark knows their size when it plans a join.
+    """
+    path = scratch_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
