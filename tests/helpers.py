@@ -1,6 +1,7 @@
 """Small frames, plans and comparisons for tests."""
 
 import re
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame
 
@@ -47,3 +48,16 @@ def stored(df: DataFrame, path) -> DataFrame:
     """``df`` after a trip through Parquet, so that plans start at a file scan."""
     df.write.mode("overwrite").parquet(str(path))
     return df.sparkSession.read.parquet(str(path))
+
+
+@contextmanager
+def settings(spark, **values):
+    """Session settings for a while; underscores in their names stand for dots."""
+    names = {k.replace("_", "."): v for k, v in values.items()}
+    for name, value in names.items():
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        for name in names:
+            spark.conf.unset(name)

@@ -1,10 +1,17 @@
 """What Spark makes of the operators: shuffles, pushdown, joins, skew."""
 
-from contextlib import contextmanager
-
 import pytest
 from conftest import TESTDATA
-from helpers import EMISSION_COLUMNS, assert_rows, count_nodes, final_plan_of, frame, plan_of, stored
+from helpers import (
+    EMISSION_COLUMNS,
+    assert_rows,
+    count_nodes,
+    final_plan_of,
+    frame,
+    plan_of,
+    settings,
+    stored,
+)
 from pyspark.sql import functions as F
 
 from testbed import registry, views
@@ -15,18 +22,6 @@ from yearloom.scratch import settled
 SMALL = str(TESTDATA / "sf0.001")
 
 
-@contextmanager
-def settings(spark, **values):
-    names = {k.replace("_", "."): v for k, v in values.items()}
-    for name, value in names.items():
-        spark.conf.set(name, value)
-    try:
-        yield
-    finally:
-        for name in names:
-            spark.conf.unset(name)
-
-
 def no_broadcast(spark):
     return settings(
         spark,
