@@ -5,6 +5,8 @@ from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
+from yearloom.sources import stored_bytes
+
 
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A new path under the folder that all executors share.
@@ -20,12 +22,16 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     return f"{shared.rstrip('/')}/yearloom-{label}-{uuid4().hex}"
 
 
-def settled(df: DataFrame, label: str) -> DataFrame:
+def settled(df: DataFrame, label: str, max_bytes: int | None = None) -> DataFrame:
     """``df`` written once to a new scratch folder and read back from there.
 
     What follows starts from files: nothing before them is computed again, also
     when executors are lost, and Spark knows their size when it plans a join.
+    Files of more than ``max_bytes`` are refused.
     """
     path = scratch_dir(df.sparkSession, label)
     df.write.parquet(path)
+    size = stored_bytes(df.sparkSession, path)
+    if max_bytes is not None and size > max_bytes:
+        raise ValueError(f"{size} bytes are more than the {max_bytes} allowed for {label}")
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -5,14 +5,18 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 
 from yearloom.operators import in_order
+from yearloom.scratch import settled
+
+
+SINGLE_FILE_MAX_BYTES = 1024**3
 
 
 def _arranged(df: DataFrame, sort_by: Sequence[str], single_file: bool) -> DataFrame:
-    if single_file:
-        # repartition, unlike coalesce, leaves the work before it parallel.
-        one = df.repartition(1)
-        return one.sortWithinPartitions(*sort_by) if sort_by else one
-    return in_order(df, sort_by) if sort_by else df
+    if not single_file:
+        return in_order(df, sort_by) if sort_by else df
+    # Computed and stored by many tasks, then brought into one if small enough.
+    one = settled(df, "single-file", SINGLE_FILE_MAX_BYTES).repartition(1)
+    return one.sortWithinPartitions(*sort_by) if sort_by else one
 
 
 def _writer(df: DataFrame) -> DataFrameWriter:
@@ -25,7 +29,7 @@ def write_parquet(
     """Write ``df`` as Parquet, ordered by ``sort_by`` across its files if given.
 
     Unsorted output is written by the tasks that computed it. ``single_file``
-    sends the rows through one task: for outputs known to be small only.
+    sends the rows through one task, which is refused for more than 1 GiB.
     """
     _writer(_arranged(df, sort_by, single_file)).parquet(path)
 

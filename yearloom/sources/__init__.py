@@ -1,6 +1,6 @@
 """Inputs: CSV, Parquet and the readiness check for a producer's output."""
 
-from yearloom.sources.files import file_names, is_complete
+from yearloom.sources.files import file_names, is_complete, stored_bytes
 from yearloom.sources.readers import read_continents, read_csv, read_parquet, resolve_source
 
 __all__ = [
@@ -10,4 +10,5 @@ __all__ = [
     "read_csv",
     "read_parquet",
     "resolve_source",
+    "stored_bytes",
 ]

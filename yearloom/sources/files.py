@@ -5,10 +5,20 @@ from pyspark.sql import SparkSession
 _DONE = "_SUCCESS"
 
 
+def _opened(spark: SparkSession, directory: str):
+    path = spark._jvm.org.apache.hadoop.fs.Path(directory)
+    return path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), path
+
+
+def stored_bytes(spark: SparkSession, directory: str) -> int:
+    """Total size of the files in a directory and those below it."""
+    fs, path = _opened(spark, directory)
+    return fs.getContentSummary(path).getLength()
+
+
 def file_names(spark: SparkSession, directory: str) -> list[str] | None:
     """Names of the entries of one directory; ``None`` if it does not exist."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(directory)
-    fs = path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    fs, path = _opened(spark, directory)
     if not fs.exists(path) or not fs.getFileStatus(path).isDirectory():
         return None
     return sorted(entry.getPath().getName() for entry in fs.listStatus(path))
