@@ -10,6 +10,8 @@ from yearloom.operators.joins import skew_safe_join
 from yearloom.operators.rank import top_rows
 from yearloom.operators.reshape import lengthen
 
+BROADCAST_MAX_RANKS = 10_000
+
 
 def temperature_anomalies(
     temperatures: DataFrame, first: int, last: int, salts: int = 1
@@ -78,8 +80,10 @@ def rank_polluters(
         .filter(F.col("Rank") <= k)
         .select("Yardstick", "Mean", F.col("Rank").cast("int").alias("Rank"))
     )
-    # At most k rows for each yardstick, so the broadcast has a fixed bound.
-    ranked = long.join(F.broadcast(ranks), ["Yardstick", "Mean"])
+    # At most k rows for each yardstick, so for a usual k the broadcast is small.
+    if k <= BROADCAST_MAX_RANKS:
+        ranks = F.broadcast(ranks)
+    ranked = long.join(ranks, ["Yardstick", "Mean"])
     return ranked.select("Country", "Yardstick", "Mean", "Rank")
 
 

@@ -7,7 +7,6 @@ from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from yearloom.operators import in_order
 from yearloom.scratch import settled
 
-
 SINGLE_FILE_MAX_BYTES = 1024**3
 
 
