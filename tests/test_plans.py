@@ -80,6 +80,22 @@ def test_fill_reduces_rows_before_its_window(spark):
     assert wanted.first()["m"] == 99_981.0
 
 
+def test_fill_splits_a_hot_year_and_leaves_other_rows_alone(spark, tmp_path):
+    rows = spark.range(0, 200_000, numPartitions=16).select(
+        F.when(F.col("id") % 3 > 0, 2000).otherwise(1900 + F.col("id") % 99).cast("int").alias("Year"),
+        F.lit("one country").alias("Country"),
+        F.col("id").cast("float").alias("TotalEmissions"),
+    )
+    rows = stored(rows, tmp_path / "rows")
+    filled = op.fill_flagged(rows, is_leap_year(F.col("Year")))
+    with no_broadcast(spark):
+        others = plan_of(filled).split("Union")[1].split("SortMergeJoin")[0]
+        assert "FileScan" in others and "Exchange" not in others
+        with settings(spark, **LOW_SKEW_LIMITS):
+            assert "skew=true" in final_plan_of(filled)
+        assert filled.filter("Year = 2000").select("TotalEmissions").distinct().count() == 1
+
+
 def test_yearly_and_country_aggregates_combine_before_the_shuffle(emissions, readings):
     for df in (op.yearly_total(emissions), op.country_temperatures(readings)):
         plan = plan_of(df)
@@ -110,6 +126,13 @@ def test_anomalies_scan_the_readings_once(readings):
     assert "ReusedExchange" in plan
 
 
+LOW_SKEW_LIMITS = {
+    "spark_sql_adaptive_skewJoin_skewedPartitionThresholdInBytes": "1KB",
+    "spark_sql_adaptive_skewJoin_skewedPartitionFactor": "2",
+    "spark_sql_adaptive_advisoryPartitionSizeInBytes": "2KB",
+}
+
+
 def hot_rows(spark, n):
     """Two thirds of the rows under one key, in 16 partitions."""
     key = F.when(F.col("id") % 3 > 0, "hot").otherwise(F.concat(F.lit("k"), F.col("id") % 100))
@@ -148,15 +171,9 @@ def test_adaptive_execution_splits_a_hot_key(spark, how):
     many = hot_rows(spark, 200_000)
     # Aggregated on the join key, as temperatures and baselines are.
     few = many.groupBy("k").agg(F.max(F.length("v")).alias("x"))
-    sizes = {}
-    low = {
-        "spark_sql_adaptive_skewJoin_skewedPartitionThresholdInBytes": "1KB",
-        "spark_sql_adaptive_skewJoin_skewedPartitionFactor": "2",
-        "spark_sql_adaptive_advisoryPartitionSizeInBytes": "2KB",
-    }
-    with no_broadcast(spark), settings(spark, **low):
+    with no_broadcast(spark), settings(spark, **LOW_SKEW_LIMITS):
         joined = op.skew_safe_join(many, few, ["k"], how)
-        assert "isSkewJoin=true" in final_plan_of(joined).replace("SortMergeJoin(skew=true)", "isSkewJoin=true")
+        assert "skew=true" in final_plan_of(joined)
         sizes = tasks_of_hot_key(joined)
         assert_same_as_plain_join(joined, many, few, how)
     assert len(sizes) >= 4 and max(sizes) < sum(sizes) / 2

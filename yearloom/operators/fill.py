@@ -44,7 +44,9 @@ def fill_flagged(
     and the work is a single window with a single shuffle. Otherwise a key may
     repeat without limit: its rows are first reduced to one per order value,
     the largest, so that the window sees only as many rows as there are order
-    values, and the replacements are joined back by ``skew_safe_join``.
+    values. The replacements are then joined by ``skew_safe_join`` to the
+    flagged rows; the others are not shuffled at all. For that ``flag`` is
+    evaluated more than once and must give the same answer each time.
     """
     if unique:
         nearest = _neighbour(key, order, value, back, ahead)
@@ -53,12 +55,13 @@ def fill_flagged(
     steps = df.groupBy(key, order).agg(F.max(value).alias(value))
     nearest = _neighbour(key, order, value, back, ahead).alias("__nearest")
     fills = steps.select(key, order, nearest).filter("__nearest IS NOT NULL")
-    filled = F.when(flag, F.col("__nearest")).otherwise(F.col(value))
-    return (
-        skew_safe_join(df, fills, [key, order], "left", salts)
-        .withColumn(value, filled)
+    flagged = F.coalesce(flag, F.lit(False))
+    replaced = (
+        skew_safe_join(df.filter(flagged), fills, [key, order], "left", salts)
+        .withColumn(value, F.col("__nearest"))
         .select(*df.columns)
     )
+    return df.filter(~flagged).unionByName(replaced)
 
 
 def leap_year_fill(
