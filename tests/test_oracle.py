@@ -5,9 +5,10 @@ from compare import differences, oracle_connection
 from conftest import TESTDATA
 
 import __spark_entry__ as entry_point
+from testbed import registry
 
 SF_DIR = str(TESTDATA / "sf0.01")
-QUERIES, ORACLES = entry_point.queries(), entry_point.oracle_sql()
+QUERIES, ORACLES = registry.queries(), registry.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -19,6 +20,8 @@ def oracle():
 
 def test_every_query_has_sql():
     assert QUERIES.keys() == ORACLES.keys()
+    assert QUERIES.keys() <= entry_point.queries().keys()
+    assert ORACLES.keys() <= entry_point.oracle_sql().keys()
 
 
 @pytest.mark.parametrize("name", QUERIES)

@@ -42,12 +42,6 @@ def test_write_parquet(spark, emissions, tmp_path, single_file, sort_by):
         assert not sort_by or years == sorted(years)
 
 
-def test_single_file_is_refused_for_large_output(emissions, tmp_path, monkeypatch):
-    monkeypatch.setattr("yearloom.sinks.writers.SINGLE_FILE_MAX_BYTES", 100)
-    with pytest.raises(ValueError, match="more than the 100 allowed"):
-        sinks.write_parquet(emissions, str(tmp_path / "out"), single_file=True)
-
-
 def test_sorted_files_split_a_year_with_most_rows(spark, tmp_path):
     n = 30_000
     df = spark.range(0, n, numPartitions=8).select(

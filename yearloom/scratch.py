@@ -1,37 +1,35 @@
 """Intermediate datasets."""
 
-import tempfile
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
-from yearloom.sources import stored_bytes
-
 
 def scratch_dir(spark: SparkSession, label: str) -> str:
-    """A new path under the folder that all executors share.
+    """A new path under a folder that all executors share.
 
-    That is the session's ``spark.checkpoint.dir``. Only where it is unset, as
-    in a local test, a temporary folder of this machine takes its place.
+    That is the session's ``spark.checkpoint.dir`` or, where it is unset, a
+    folder in the warehouse.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        shared = tempfile.mkdtemp(prefix="yearloom-")
+        shared = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/scratch"
     return f"{shared.rstrip('/')}/yearloom-{label}-{uuid4().hex}"
 
 
-def settled(df: DataFrame, label: str, max_bytes: int | None = None) -> DataFrame:
-    """``df`` written once to a new scratch folder and read back from there.
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a scratch folder through the file system Spark itself uses."""
+    opened = spark._jvm.org.apache.hadoop.fs.Path(path)
+    opened.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(opened, True)
+
+
+def settled(df: DataFrame, label: str, path: str | None = None) -> DataFrame:
+    """``df`` written once to a scratch folder and read back from there.
 
     What follows starts from files: nothing before them is computed again, also
     when executors are lost, and Spark knows their size when it plans a join.
-    Files of more than ``max_bytes`` are refused.
+    The folder is a new one, or ``path`` for a caller that removes it later.
     """
-    path = scratch_dir(df.sparkSession, label)
+    path = path or scratch_dir(df.sparkSession, label)
     df.write.parquet(path)
-    size = stored_bytes(df.sparkSession, path)
-    if max_bytes is not None and size > max_bytes:
-        raise ValueError(f"{size} bytes are more than the {max_bytes} allowed for {label}")
     return df.sparkSession.read.schema(df.schema).parquet(path)

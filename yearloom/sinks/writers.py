@@ -5,16 +5,13 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 
 from yearloom.operators import in_order
-from yearloom.scratch import settled
-
-SINGLE_FILE_MAX_BYTES = 1024**3
 
 
 def _arranged(df: DataFrame, sort_by: Sequence[str], single_file: bool) -> DataFrame:
     if not single_file:
         return in_order(df, sort_by) if sort_by else df
-    # Computed and stored by many tasks, then brought into one if small enough.
-    one = settled(df, "single-file", SINGLE_FILE_MAX_BYTES).repartition(1)
+    # Only the last step, and no more of the plan, is left to the single task.
+    one = df.repartition(1)
     return one.sortWithinPartitions(*sort_by) if sort_by else one
 
 
@@ -28,7 +25,8 @@ def write_parquet(
     """Write ``df`` as Parquet, ordered by ``sort_by`` across its files if given.
 
     Unsorted output is written by the tasks that computed it. ``single_file``
-    sends the rows through one task, which is refused for more than 1 GiB.
+    sends all rows through one task, which takes the time and the local disk
+    that sorting and writing all of them needs; leave it off for large output.
     """
     _writer(_arranged(df, sort_by, single_file)).parquet(path)
 
