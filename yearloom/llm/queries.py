@@ -3,8 +3,9 @@
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from yearloom.llm import toxicity
+from yearloom.llm import decontamination, line_dedup, toxicity
 
 Run = Callable[[SparkSession, str], DataFrame]
 
@@ -20,10 +21,30 @@ def op4_nb_ngram_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_spaced_seed_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every pair of a document and a benchmark item that overlap."""
+    return decontamination.contaminated(
+        _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
+    )
+
+
+def op9_three_line_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's lines that repeat a window, and a digest of the rest."""
+    rest = line_dedup.remove_repeated(_table(spark, sf_dir, "documents"), "removed")
+    return rest.select(
+        "doc_id",
+        F.size("removed").cast("long").alias("n_removed"),
+        F.array_join(F.col("removed").cast("array<string>"), ",").alias("removed_lines"),
+        F.md5(F.col("text").cast("binary")).alias("kept_md5"),
+    )
+
+
 def queries() -> dict[str, Run]:
     """Every query of the subpackage by name."""
     return {
         "op4_nb_ngram_toxicity": op4_nb_ngram_toxicity,
+        "op5_spaced_seed_decontamination": op5_spaced_seed_decontamination,
+        "op9_three_line_windows": op9_three_line_windows,
     }
 
 

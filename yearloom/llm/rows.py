@@ -31,3 +31,14 @@ def same(left: DataFrame, right: DataFrame, names: dict[str, str]) -> Column:
 def text_key(text: str = "text") -> Column:
     """Tells rows of one id but different texts apart; equal rows stay equal."""
     return F.xxhash64(F.col(quoted(text)))
+
+
+def computed(df: DataFrame, **columns: Column) -> DataFrame:
+    """``df`` with further columns that are computed once for each row.
+
+    An expression put in place of its name by the optimizer, as a pushed filter
+    or a merged projection does, would be evaluated once for every use, and
+    within a higher-order function once for every element.
+    """
+    made = F.struct(*[c.alias(name) for name, c in columns.items()])
+    return df.select("*", F.inline(F.array(made)))
