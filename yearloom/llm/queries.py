@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from yearloom.llm import decontamination, line_dedup, toxicity
+from yearloom.llm import decontamination, line_dedup, packing, toxicity
 
 Run = Callable[[SparkSession, str], DataFrame]
 
@@ -39,11 +39,27 @@ def op9_three_line_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _vocabulary(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op10_minimum_bin_slack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's pieces in windows of 2048 tokens, with digests of their ids."""
+    pieces = packing.pack(_table(spark, sf_dir, "documents"), _vocabulary("word_bpe_49k.json"))
+    return pieces.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens",
+        "sequence_id", "offset",
+    )
+
+
 def queries() -> dict[str, Run]:
     """Every query of the subpackage by name."""
     return {
         "op4_nb_ngram_toxicity": op4_nb_ngram_toxicity,
         "op5_spaced_seed_decontamination": op5_spaced_seed_decontamination,
+        "op10_minimum_bin_slack": op10_minimum_bin_slack,
         "op9_three_line_windows": op9_three_line_windows,
     }
 
