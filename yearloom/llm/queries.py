@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from yearloom.llm import decontamination, line_dedup, packing, toxicity
+from yearloom.llm import decontamination, jaccard_join, line_dedup, packing, toxicity
 
 Run = Callable[[SparkSession, str], DataFrame]
 
@@ -28,6 +28,11 @@ def op5_spaced_seed_decontamination(spark: SparkSession, sf_dir: str) -> DataFra
     )
 
 
+def op7_size_aware_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's number of shingles and near-duplicate component."""
+    return jaccard_join.with_components(_table(spark, sf_dir, "documents"))
+
+
 def op9_three_line_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's lines that repeat a window, and a digest of the rest."""
     rest = line_dedup.remove_repeated(_table(spark, sf_dir, "documents"), "removed")
@@ -54,12 +59,21 @@ def op10_minimum_bin_slack(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole corpus pipeline over ``documents``."""
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def queries() -> dict[str, Run]:
     """Every query of the subpackage by name."""
     return {
+        "pipeline": pipeline,
         "op4_nb_ngram_toxicity": op4_nb_ngram_toxicity,
         "op5_spaced_seed_decontamination": op5_spaced_seed_decontamination,
         "op10_minimum_bin_slack": op10_minimum_bin_slack,
+        "op7_size_aware_jaccard": op7_size_aware_jaccard,
         "op9_three_line_windows": op9_three_line_windows,
     }
 
