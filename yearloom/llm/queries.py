@@ -5,7 +5,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from yearloom.llm import decontamination, jaccard_join, line_dedup, packing, toxicity
+from yearloom.llm import (
+    decontamination,
+    jaccard_join,
+    line_dedup,
+    packing,
+    toxicity,
+    url_filter,
+    warc,
+)
 
 Run = Callable[[SparkSession, str], DataFrame]
 
@@ -14,6 +22,16 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_character_model_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's URL judged by rules and, where none fits, by character models."""
+    return url_filter.judge(_table(spark, sf_dir, "pages"))
+
+
+def op3_warc_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's record as written to archives and read back in chunks."""
+    return warc.round_trip(_table(spark, sf_dir, "pages"))
+
+
 def op4_nb_ngram_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's toxicity, learnt from labels outside its held-out fold."""
     return toxicity.score_documents(
@@ -70,6 +88,8 @@ def queries() -> dict[str, Run]:
     """Every query of the subpackage by name."""
     return {
         "pipeline": pipeline,
+        "op1_character_model_ratio": op1_character_model_ratio,
+        "op3_warc_chunks": op3_warc_chunks,
         "op4_nb_ngram_toxicity": op4_nb_ngram_toxicity,
         "op5_spaced_seed_decontamination": op5_spaced_seed_decontamination,
         "op10_minimum_bin_slack": op10_minimum_bin_slack,
