@@ -13,8 +13,10 @@ of the first ``n - ceil(t * n) + k`` of each, at least ``k`` are then common.
 The boundary between light and heavy is the size with the least cost: the pairs
 enumerated below it and the list entries to be scanned above it.
 
-What a pair or a list brings together is a candidate and is verified on the
-whole sets. Classes already linked need no verification among each other. So
+What a pair or a list brings together is a candidate. A sketch of each set, a
+few bits of parity for each shingle, gives a lower bound of the number of
+shingles in one set only; what it does not rule out is verified on the whole
+sets. Classes already linked need no verification among each other. So
 each round verifies the classes outside a list's largest component against a few
 members of that component, which settles large groups of near copies without
 all their pairs; a last round verifies whatever pairs of different components
@@ -49,7 +51,7 @@ class Settings:
     words: int = 5
     count_bits: int = 18
     scan_cost: float = 4.0
-    pivots: tuple[int, ...] = (1, 4, 8, 16)
+    pivots: tuple[int, ...] = (1, 8)
 
 
 #: No boundary lies above this size, where pairs cost far more than lists.
@@ -136,25 +138,42 @@ def _keys(own: np.ndarray, hits: np.ndarray, settings: Settings, light: int) ->
 
 def _place(hits: np.ndarray, settings: Settings, light: int):
     def run(batches):
+        seen = set()  # copies within a task are placed once
         for batch in batches:
-            keys, classes, sizes = [], [], []
+            keys, classes = [], []
             for text in _texts(batch):
                 own = _set_of(text, settings.words)
-                if len(own):
+                name = _signature(own)
+                if len(own) and name not in seen:
+                    seen.add(name)
                     keys.append(_keys(own, hits, settings, light))
-                    classes.append(_signature(own))
-                    sizes.append(len(own))
+                    classes.append(name)
             repeat = [len(k) for k in keys]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.concatenate([*keys, np.zeros(0, np.uint64)]).view(np.int64)),
-                 pa.array(np.repeat(np.array(classes, np.int64), repeat)),
-                 pa.array(np.repeat(np.array(sizes, np.int64), repeat))],
-                names=["key", "class", "n"],
+                 pa.array(np.repeat(np.array(classes, np.int64), repeat))],
+                names=["key", "class"],
             )
 
     return run
 
 
+def _sketch(own: np.ndarray) -> bytes:
+    """Parities of the shingles by the low bits of their hashes, two bits for each."""
+    bits = max(64, 1 << (2 * len(own) - 1).bit_length())
+    places = (own & np.uint64(bits - 1)).astype(np.int64)
+    return np.packbits((np.bincount(places, minlength=bits) & 1).astype(np.uint8)).tobytes()
+
+
+def _apart(a: np.ndarray, b: np.ndarray) -> int:
+    """At least so many shingles are in one of the sets only, by their sketches."""
+    if len(a) > len(b):
+        a, b = b, a
+    while len(b) > len(a):  # a parity by fewer bits is that of two places together
+        b = b[: len(b) // 2] ^ b[len(b) // 2 :]
+    return int(np.bitwise_count((a ^ b).view(np.uint64)).sum())
+
+
 def _whole_sets(settings: Settings):
     def run(batches):
         for batch in batches:
@@ -162,18 +181,34 @@ def _whole_sets(settings: Settings):
             found = [_signature(s) for s in sets]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("class"), pa.array(found, pa.int64()),
-                 pa.array([s.tobytes() for s in sets], pa.binary())],
-                names=["class", "found", "own"],
+                 pa.array([len(s) for s in sets], pa.int64()),
+                 pa.array([s.tobytes() for s in sets], pa.binary()),
+                 pa.array([_sketch(s) for s in sets], pa.binary())],
+                names=["class", "found", "n", "own", "sketch"],
             )
 
     return run
 
 
+def _possible(percent: int):
+    def run(batches):
+        for batch in batches:
+            sizes = batch.column("a_n").to_numpy() + batch.column("b_n").to_numpy()
+            most = sizes * (100 - percent) // (100 + percent)
+            keep = [
+                _apart(np.frombuffer(a.as_buffer(), np.uint8), np.frombuffer(b.as_buffer(), np.uint8)) <= m
+                for a, b, m in zip(batch.column("a_sketch"), batch.column("b_sketch"), most)
+            ]
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    return run
+
+
 def _similar(percent: int):
     def run(batches):
         for batch in batches:
             keep = []
-            for a, b in zip(batch.column("a_set"), batch.column("b_set")):
+            for a, b in zip(batch.column("a_own"), batch.column("b_own")):
                 x = np.frombuffer(a.as_buffer(), np.uint64)
                 y = np.frombuffer(b.as_buffer(), np.uint64)
                 if len(x) > len(y):
@@ -186,11 +221,19 @@ def _similar(percent: int):
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Those of the pairs ``a``, ``b`` whose sets are similar."""
-    left = sets.select(F.col("class").alias("a"), F.col("own").alias("a_set"))
-    right = sets.select(F.col("class").alias("b"), F.col("own").alias("b_set"))
-    both = pairs.join(left, "a").join(right, "b").select("a", "b", "a_set", "b_set")
-    return both.mapInArrow(_similar(percent), "a long, b long")
+    """Those of the pairs ``a``, ``b`` whose sets are similar, stored."""
+
+    def beside(pairs: DataFrame, *what: str) -> DataFrame:
+        for side in "ab":
+            own = sets.select(F.col("class").alias(side), *[F.col(c).alias(f"{side}_{c}") for c in what])
+            pairs = pairs.join(own, side)
+        return pairs.select("a", "b", *[f"{side}_{c}" for side in "ab" for c in what])
+
+    near = beside(pairs, "n", "sketch").filter(
+        F.least("a_n", "b_n") * 100 >= F.greatest("a_n", "b_n") * percent
+    )
+    near = settled(near.mapInArrow(_possible(percent), "a long, b long"), "possible-links")
+    return settled(beside(near, "own").mapInArrow(_similar(percent), "a long, b long"), "links")
 
 
 def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
@@ -222,7 +265,7 @@ def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
         labels = moved.drop("moved")
 
 
-def _round_pairs(members: DataFrame, labels: DataFrame, pivots: int, size_ok: Column) -> DataFrame:
+def _round_pairs(members: DataFrame, labels: DataFrame, pivots: int) -> DataFrame:
     """Members outside a list's largest component beside some members inside it."""
     known = members.join(labels, "class")
     largest = (
@@ -235,18 +278,16 @@ def _round_pairs(members: DataFrame, labels: DataFrame, pivots: int, size_ok: Co
     )
     largest = settled(largest, "main-components")
     placed = known.join(largest, "key")
-    slot = F.pmod(F.xxhash64(F.lit(pivots), "class"), F.lit(pivots))
+    order = F.xxhash64(F.lit(pivots), "class")
     chosen = (
         placed.filter(F.col("component") == F.col("main"))
-        .groupBy("key", slot.alias("slot"))
-        .agg(F.min(F.struct(F.xxhash64(F.lit(pivots), "class"), "class", "n")).alias("p"))
-        .select("key", F.col("p.class").alias("a"), F.col("p.n").alias("a_n"))
+        .groupBy("key", F.pmod(order, F.lit(pivots)).alias("slot"))
+        .agg(F.min_by("class", F.struct(order, "class")).alias("a"))
+        .select("key", "a")
     )
     chosen = settled(chosen, "pivots")
-    outside = placed.filter(F.col("component") != F.col("main")).select(
-        "key", F.col("class").alias("b"), F.col("n").alias("b_n")
-    )
-    return outside.join(chosen, "key").filter(size_ok).select("a", "b").distinct()
+    outside = placed.filter(F.col("component") != F.col("main")).select("key", F.col("class").alias("b"))
+    return outside.join(chosen, "key").select("a", "b").distinct()
 
 
 def linked_classes(
@@ -275,29 +316,26 @@ def linked_classes(
     light = boundary({r["n"]: r["count"] for r in sizes}, settings.percent, settings.scan_cost)
 
     placed = settled(
-        texts.select("text").mapInArrow(_place(hits, settings, light), "key long, class long, n long"),
-        "keys",
+        texts.select("text").mapInArrow(_place(hits, settings, light), "key long, class long"), "keys"
     )
-    shared = placed.groupBy("key").agg(F.min("class").alias("low"), F.max("class").alias("high"))
-    shared = settled(shared.filter("low < high").select("key"), "shared-keys")
+    shared = placed.groupBy("key").agg(F.count("*").alias("places")).filter("places > 1")
+    shared = settled(shared.select("key"), "shared-keys")
     members = settled(placed.join(shared, "key").distinct(), "members")
-    nodes = settled(members.select("class", "n").distinct(), "nodes")
+    nodes = settled(members.select("class").distinct(), "nodes")
 
     # The whole sets of the classes that meet another one, from one document each.
-    chosen = nodes.join(classes, ["class", "n"]).select("class", F.col("first_id"))
-    own = texts.join(settled(chosen, "chosen"), F.col("doc_id").eqNullSafe(F.col("first_id")))
-    sets = own.select("class", "text").mapInArrow(
-        _whole_sets(settings), "class long, found long, own binary"
+    chosen = settled(nodes.join(classes, "class").select("class", "first_id"), "chosen")
+    own = texts.join(chosen, F.col("doc_id").eqNullSafe(F.col("first_id"))).select("class", "text")
+    sets = own.mapInArrow(
+        _whole_sets(settings), "class long, found long, n long, own binary, sketch binary"
     )
-    sets = settled(sets.filter("class = found").select("class", "own"), "sets").dropDuplicates(["class"])
-    sets = settled(sets, "sets")
+    # An id that repeats brings other texts along, and equal ones twice.
+    sets = sets.filter("class = found").drop("found")
+    sets = settled(sets.dropDuplicates(["class", "n"]), "sets")
 
-    ratio, whole = F.lit(settings.percent), F.lit(100)
-    size_ok = (whole * F.least("a_n", "b_n")) >= (ratio * F.greatest("a_n", "b_n"))
     edges, labels = None, nodes.select("class", F.col("class").alias("component"))
     for pivots in settings.pivots:
-        pairs = _round_pairs(members, labels, pivots, size_ok)
-        found = settled(_verified(pairs, sets, settings.percent), "links")
+        found = _verified(_round_pairs(members, labels, pivots), sets, settings.percent)
         edges = found if edges is None else edges.unionAll(found)
         if not found.head(1):
             break
@@ -307,12 +345,10 @@ def linked_classes(
     several = known.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
     several = settled(several.filter("low < high").select("key"), "open-keys")
     known = settled(known.join(several, "key"), "open-members")
-    other = known.select(
-        "key", F.col("class").alias("b"), F.col("n").alias("b_n"), F.col("component").alias("b_part")
-    )
-    left = known.withColumnsRenamed({"class": "a", "n": "a_n"}).join(other, "key")
-    left = left.filter((F.col("a") < F.col("b")) & (F.col("component") != F.col("b_part")) & size_ok)
-    found = settled(_verified(left.select("a", "b").distinct(), sets, settings.percent), "links")
+    other = known.select("key", F.col("class").alias("b"), F.col("component").alias("b_part"))
+    left = known.withColumnRenamed("class", "a").join(other, "key")
+    left = left.filter((F.col("a") < F.col("b")) & (F.col("component") != F.col("b_part")))
+    found = _verified(left.select("a", "b").distinct(), sets, settings.percent)
     if found.head(1):
         labels = components(nodes, edges.unionAll(found))
 
