@@ -1,44 +1,94 @@
 """Token ids of texts, word by word, with the ids of seen words kept at hand."""
 
 import os
-import re
+from unicodedata import is_normalized
 
 import numpy as np
 
 #: Words kept at most, and the longest word that is kept, in code points.
-_KEPT_WORDS, _KEPT_LENGTH = 300_000, 64
-_PARTS = re.compile(r"[ \n]+")
+_KEPT_WORDS, _KEPT_LENGTH = 500_000, 64
+#: Marks that are a token of their own after a word of letters.
+_MARKS = frozenset(".,;:!?")
+_ONE_CALL = 200
+
+
+def _lowered(text: str) -> str:
+    """The text in lower case where the tokenizer's own steps give the same ids."""
+    lower = text.lower()
+    if text.isascii():
+        return lower
+    # Capital sigma has two lower-case forms, and letters with combining marks
+    # may compose in one case only.
+    plain = "Σ" not in text and is_normalized("NFC", text) and is_normalized("NFC", lower)
+    return lower if plain else text
+
+
+def _letters(word: str) -> bool:
+    """Whether the tokenizer sees letters only, after its own steps too."""
+    return word.isalpha() and (word.isascii() or word.lower().isalpha())
 
 
 class WordTokenizer:
-    """Ids of a tokenizer that never joins what white space separates.
+    """Ids of a lower-casing tokenizer with word ends that never joins words.
 
     Texts are cut at blanks and newlines and each part is encoded by itself,
-    which gives the ids of the whole text.
+    which gives the ids of the whole text. Words of letters alone are one word
+    to the tokenizer too, so many are encoded in one call and told apart by the
+    tokens that end a word.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, word_end: str = "</w>"):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self._encode = Tokenizer.from_file(path).encode_batch
+        tokenizer = Tokenizer.from_file(path)
+        self._encode = tokenizer.encode_batch_fast
+        vocabulary = tokenizer.get_vocab()
+        self._ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self._ends[[i for token, i in vocabulary.items() if token.endswith(word_end)]] = True
         self._known: dict[str, bytes] = {"": b""}
 
-    def _learn(self, words: list[str]) -> None:
+    def _one_by_one(self, words: list[str]) -> None:
         for word, found in zip(words, self._encode(words, add_special_tokens=False)):
             self._known[word] = np.array(found.ids, "<u4").tobytes()
 
+    def _together(self, words: list[str]) -> None:
+        found = self._encode([" ".join(words)], add_special_tokens=False)[0]
+        ids = np.array(found.ids, "<u4")
+        ends = np.flatnonzero(self._ends[ids]) + 1
+        if len(ends) != len(words) or ends[-1] != len(ids):
+            return self._one_by_one(words)
+        packed, start = ids.tobytes(), 0
+        for word, end in zip(words, ends.tolist()):
+            self._known[word] = packed[4 * start : 4 * end]
+            start = end
+
+    def _learn(self, missing: list[str]) -> None:
+        known = self._known
+        marked = [w for w in missing if w[-1] in _MARKS and _letters(w[:-1])]
+        stems = dict.fromkeys(w for w in missing if _letters(w))
+        stems.update(dict.fromkeys(w[:-1] for w in marked if w[:-1] not in known))
+        plain = list(stems)
+        for start in range(0, len(plain), _ONE_CALL):
+            self._together(plain[start : start + _ONE_CALL])
+        apart = set(marked)
+        others = [w for w in missing if w not in apart and w not in stems]
+        others += [m for m in _MARKS if m not in known]
+        for start in range(0, len(others), _ONE_CALL):
+            self._one_by_one(others[start : start + _ONE_CALL])
+        for word in marked:
+            known[word] = known[word[:-1]] + known[word[-1]]
+
     def ids(self, text: str) -> bytes:
         """The ids as little-endian unsigned 32-bit numbers."""
-        words = _PARTS.split(text)
+        words = _lowered(text).replace("\n", " ").split(" ")
         known = self._known
         missing = [w for w in dict.fromkeys(words) if w not in known]
         if missing:
-            if len(known) + len(missing) > _KEPT_WORDS:
+            if len(known) + 2 * len(missing) > _KEPT_WORDS:
                 self._known = known = {"": b""}
-                missing = [w for w in dict.fromkeys(words) if w not in known]
-            for start in range(0, len(missing), 1000):
-                self._learn(missing[start : start + 1000])
+                missing = [w for w in dict.fromkeys(words) if w]
+            self._learn(missing)
         found = b"".join([known[w] for w in words])
         for word in missing:
             if len(word) > _KEPT_LENGTH:
