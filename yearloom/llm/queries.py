@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 
 from yearloom.llm import (
     decontamination,
+    fertility,
     jaccard_join,
     line_dedup,
+    lm_scoring,
     packing,
     toxicity,
     url_filter,
@@ -27,6 +29,17 @@ def op1_character_model_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(_table(spark, sf_dir, "pages"))
 
 
+def _vocabulary(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op2_tokenizer_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's base figures, token measures and verdict."""
+    return fertility.judge(_table(spark, sf_dir, "documents"), _vocabulary("piece_bpe_32k.model"))
+
+
 def op3_warc_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page's record as written to archives and read back in chunks."""
     return warc.round_trip(_table(spark, sf_dir, "pages"))
@@ -46,6 +59,13 @@ def op5_spaced_seed_decontamination(spark: SparkSession, sf_dir: str) -> DataFra
     )
 
 
+def op6_cross_entropy_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's losses under the target and the background model."""
+    return lm_scoring.score_documents(
+        _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    )
+
+
 def op7_size_aware_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's number of shingles and near-duplicate component."""
     return jaccard_join.with_components(_table(spark, sf_dir, "documents"))
@@ -62,12 +82,6 @@ def op9_three_line_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _vocabulary(name: str) -> str:
-    import public_tokenizers
-
-    return public_tokenizers.path(name)
-
-
 def op10_minimum_bin_slack(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's pieces in windows of 2048 tokens, with digests of their ids."""
     pieces = packing.pack(_table(spark, sf_dir, "documents"), _vocabulary("word_bpe_49k.json"))
@@ -89,10 +103,12 @@ def queries() -> dict[str, Run]:
     return {
         "pipeline": pipeline,
         "op1_character_model_ratio": op1_character_model_ratio,
+        "op2_tokenizer_fertility": op2_tokenizer_fertility,
         "op3_warc_chunks": op3_warc_chunks,
         "op4_nb_ngram_toxicity": op4_nb_ngram_toxicity,
         "op5_spaced_seed_decontamination": op5_spaced_seed_decontamination,
         "op10_minimum_bin_slack": op10_minimum_bin_slack,
+        "op6_cross_entropy_difference": op6_cross_entropy_difference,
         "op7_size_aware_jaccard": op7_size_aware_jaccard,
         "op9_three_line_windows": op9_three_line_windows,
     }

@@ -38,7 +38,7 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _POWERS[0][:n], _POWERS[1][:n]
 
 
-def _words(data: np.ndarray) -> np.ndarray:
+def _words(data: np.ndarray, lower: bool) -> np.ndarray:
     gap = _SEPARATORS[data]
     edge = np.flatnonzero(np.diff(gap, prepend=True, append=True))
     starts, ends = edge[::2], edge[1::2]
@@ -46,16 +46,17 @@ def _words(data: np.ndarray) -> np.ndarray:
         return np.zeros(0, np.uint64)
     power, inverse = _powers(len(data) + 1)
     sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(_BYTES[_LOWER[data]] * power[:-1], out=sums[1:])
+    letters = _LOWER[data] if lower else data
+    np.cumsum(_BYTES[letters] * power[:-1], out=sums[1:])
     own = (sums[ends] - sums[starts]) * inverse[starts]
     return mixed(own + (ends - starts).astype(np.uint64))
 
 
-def word_hashes(text: bytes) -> np.ndarray:
-    """The hash of every word of a UTF-8 text, in order."""
+def word_hashes(text: bytes, lower: bool = True) -> np.ndarray:
+    """The hash of every word of a UTF-8 text, in order; ``lower`` as said above."""
     data = np.frombuffer(text, np.uint8)
     if len(data) <= _CHUNK:
-        return _words(data)
+        return _words(data, lower)
     found, start = [], 0
     while start < len(data):
         end = min(start + _CHUNK, len(data))
@@ -66,7 +67,7 @@ def word_hashes(text: bytes) -> np.ndarray:
             else:  # one word of millions of bytes: up to its end at once
                 while end < len(data) and not _SEPARATORS[data[end]]:
                     end += 1
-        found.append(_words(data[start:end]))
+        found.append(_words(data[start:end], lower))
         start = end
     return np.concatenate(found)
 
