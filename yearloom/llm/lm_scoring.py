@@ -38,10 +38,11 @@ class Settings:
 
 @dataclass(frozen=True)
 class Model:
-    """Counts of words and pairs; the pairs of a word with itself as first are ``words``."""
+    """Counts of words and of pairs, and all words together."""
 
     words: np.ndarray
     pairs: np.ndarray
+    total: float
 
 
 def _ids(text: bytes | None, settings: Settings) -> tuple[np.ndarray, np.ndarray]:
@@ -84,7 +85,7 @@ def _count(settings: Settings):
 def _losses(model: Model, words: np.ndarray, pairs: np.ndarray, settings: Settings) -> np.ndarray:
     """The model's loss in bits for each word."""
     size = len(model.words)
-    single = (model.words[words] + settings.added) / (model.words.sum() + settings.added * size)
+    single = (model.words[words] + settings.added) / (model.total + settings.added * size)
     # The start mark has no count of its own: its pairs weigh nothing.
     before = np.concatenate([np.zeros(1), model.words[words[:-1]]])
     pair = np.minimum(model.pairs[pairs] / np.maximum(before, 1), 1.0)
@@ -122,7 +123,8 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) ->
     for side in ("target", "background"):
         table = np.zeros(first_pair + (1 << settings.pair_bits), np.float32)
         table[place] = rows[side].to_numpy(np.float32)
-        models.append(Model(table[:first_pair], table[first_pair:]))
+        words = table[:first_pair]
+        models.append(Model(words, table[first_pair:], float(words.sum(dtype=np.float64))))
     return models[0], models[1]
 
 
