@@ -12,6 +12,7 @@ from yearloom.llm import (
     line_dedup,
     lm_scoring,
     packing,
+    substring_dedup,
     toxicity,
     url_filter,
     warc,
@@ -71,6 +72,12 @@ def op7_size_aware_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.with_components(_table(spark, sf_dir, "documents"))
 
 
+def op8_run_length_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's bytes in repeated strings of 400, and a digest of the rest."""
+    found = substring_dedup.remove_repeated(_table(spark, sf_dir, "documents"))
+    return substring_dedup.summary(found)
+
+
 def op9_three_line_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's lines that repeat a window, and a digest of the rest."""
     rest = line_dedup.remove_repeated(_table(spark, sf_dir, "documents"), "removed")
@@ -110,6 +117,7 @@ def queries() -> dict[str, Run]:
         "op10_minimum_bin_slack": op10_minimum_bin_slack,
         "op6_cross_entropy_difference": op6_cross_entropy_difference,
         "op7_size_aware_jaccard": op7_size_aware_jaccard,
+        "op8_run_length_index": op8_run_length_index,
         "op9_three_line_windows": op9_three_line_windows,
     }
 
