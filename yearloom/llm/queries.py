@@ -11,6 +11,7 @@ from yearloom.llm import (
     jaccard_join,
     line_dedup,
     lm_scoring,
+    oracle,
     packing,
     substring_dedup,
     toxicity,
@@ -124,4 +125,4 @@ def queries() -> dict[str, Run]:
 
 def oracle_sql() -> dict[str, str]:
     """SQL by query name, where SQL can express the query."""
-    return {}
+    return dict(oracle.SQL)

@@ -23,16 +23,17 @@ class Settings:
     """What the model depends on besides the labelled rows.
 
     ``per_class`` bounds the labelled documents of either class that the model
-    is fitted on; those of the smallest id hashes are taken. ``min_z`` is how
-    many standard errors an n-gram's log-count ratio must be from zero to
-    become a feature, and ``max_features`` of those with the most are kept.
+    is fitted on; those of the smallest id hashes are taken. ``min_z`` is by
+    how many standard errors an n-gram's share of the toxic texts must differ
+    from that of the clean ones to become a feature, and ``max_features`` of
+    those with the most are kept.
     """
 
     sizes: tuple[int, ...] = (3, 4, 5, 6)
     bits: int = 20
     per_class: int = 6000
     smoothing: float = 0.5
-    min_z: float = 3.5
+    min_z: float = 4.0
     max_features: int = 4096
     l2: float = 1.0
     steps: int = 150
@@ -177,7 +178,8 @@ def fit(
     The n-grams are counted and the texts encoded by Spark; the driver gets the
     counts of the selected n-grams and the encoded sample, both bounded by the
     settings. Without labelled rows of both classes every score is 0, or 1
-    where all labelled rows are toxic.
+    where all labelled rows are toxic; where no n-gram tells the classes apart
+    it is the share of toxic rows.
     """
     allowed = F.lit(True) if allowed is None else allowed
     sample = training_rows(docs, labels, allowed, settings.per_class)
@@ -193,7 +195,11 @@ def fit(
     a = settings.smoothing
     in_toxic, in_clean = F.col("toxic") + a, F.col("clean") + a
     ratio = F.log(in_toxic / (sizes[1] + 2 * a)) - F.log(in_clean / (sizes[0] + 2 * a))
-    z = F.abs(ratio) / F.sqrt(1 / in_toxic + 1 / in_clean)
+    # Difference of the shares of toxic and clean texts in its standard errors.
+    n1, n0 = float(sizes[1]), float(sizes[0])
+    both = (F.col("toxic") + F.col("clean") + a) / (n1 + n0 + 2 * a)
+    apart = F.abs(F.col("toxic") / n1 - F.col("clean") / n0)
+    z = apart / F.sqrt(both * (1 - both) * (1 / n1 + 1 / n0))
     best = (
         counts.select("gram", ratio.alias("ratio"), z.alias("z"))
         .filter(F.col("z") >= settings.min_z)
@@ -201,6 +207,9 @@ def fit(
         .limit(settings.max_features)
         .collect()
     )
+    if not best:
+        share = sizes[1] / (sizes[0] + sizes[1])
+        return Model(settings.sizes, settings.bits, slots, np.zeros(0), float(np.log(share / (1 - share))))
     ratios = np.array([r["ratio"] for r in best])
     slots[[r["gram"] for r in best]] = np.arange(len(best))
     encoded = sample.mapInArrow(
