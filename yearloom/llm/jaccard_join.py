@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from yearloom.llm.rows import fresh, quoted
 from yearloom.llm.shingles import mixed, shingle_set, word_hashes
-from yearloom.scratch import settled
+from yearloom.scratch import remove, scratch_dir, settled
 
 
 @dataclass(frozen=True)
@@ -176,15 +176,23 @@ def _apart(a: np.ndarray, b: np.ndarray) -> int:
 
 def _whole_sets(settings: Settings):
     def run(batches):
+        # The rows of one id are in one task. Of a repeated one the first with the
+        # asked set counts, as other texts may share the id.
+        seen = set()
         for batch in batches:
-            sets = [_set_of(t, settings.words) for t in _texts(batch)]
-            found = [_signature(s) for s in sets]
+            found, sets = [], []
+            for name, text in zip(batch.column("class").to_pylist(), _texts(batch)):
+                own = _set_of(text, settings.words)
+                if name not in seen and _signature(own) == name:
+                    seen.add(name)
+                    found.append(name)
+                    sets.append(own)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("class"), pa.array(found, pa.int64()),
+                [pa.array(found, pa.int64()),
                  pa.array([len(s) for s in sets], pa.int64()),
                  pa.array([s.tobytes() for s in sets], pa.binary()),
                  pa.array([_sketch(s) for s in sets], pa.binary())],
-                names=["class", "found", "n", "own", "sketch"],
+                names=["class", "n", "own", "sketch"],
             )
 
     return run
@@ -315,23 +323,20 @@ def linked_classes(
     sizes = classes.filter(F.col("n") <= 2 * _MOST_LIGHT).groupBy("n").count().collect()
     light = boundary({r["n"]: r["count"] for r in sizes}, settings.percent, settings.scan_cost)
 
-    placed = settled(
-        texts.select("text").mapInArrow(_place(hits, settings, light), "key long, class long"), "keys"
-    )
+    spark, every_key = docs.sparkSession, scratch_dir(docs.sparkSession, "keys")
+    placed = texts.select("text").mapInArrow(_place(hits, settings, light), "key long, class long")
+    placed = settled(placed, "keys", every_key)
     shared = placed.groupBy("key").agg(F.count("*").alias("places")).filter("places > 1")
     shared = settled(shared.select("key"), "shared-keys")
     members = settled(placed.join(shared, "key").distinct(), "members")
+    remove(spark, every_key)  # most keys have one class only
     nodes = settled(members.select("class").distinct(), "nodes")
 
     # The whole sets of the classes that meet another one, from one document each.
     chosen = settled(nodes.join(classes, "class").select("class", "first_id"), "chosen")
     own = texts.join(chosen, F.col("doc_id").eqNullSafe(F.col("first_id"))).select("class", "text")
-    sets = own.mapInArrow(
-        _whole_sets(settings), "class long, found long, n long, own binary, sketch binary"
-    )
-    # An id that repeats brings other texts along, and equal ones twice.
-    sets = sets.filter("class = found").drop("found")
-    sets = settled(sets.dropDuplicates(["class", "n"]), "sets")
+    sets = own.mapInArrow(_whole_sets(settings), "class long, n long, own binary, sketch binary")
+    sets = settled(sets, "sets")
 
     edges, labels = None, nodes.select("class", F.col("class").alias("component"))
     for pivots in settings.pivots:
