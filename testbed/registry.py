@@ -125,6 +125,7 @@ _WIDE_CELLS = ", ".join(
 _PARTS = {
     **v.SQL_VIEWS,
     "emissions": _emissions("emissions_panel"),
+    "gapped_emissions": _emissions("gapped_panel"),
     "customer_emissions": _emissions("customer_emissions_panel"),
     "total_emissions": """
 SELECT Year, CAST(sum(CAST(TotalEmissions AS double)) AS float) AS TotalEmissions
@@ -142,6 +143,7 @@ FROM global_readings GROUP BY 1""",
     "country_panel": "SELECT * FROM emissions JOIN temperatures USING (Year, Country)",
     "customer_panel": "SELECT * FROM customer_emissions JOIN customer_temperatures USING (Year, Country)",
     "wide": f"SELECT Year, {_WIDE_CELLS} FROM emissions WHERE Year >= 1900 GROUP BY 1",
+    "gapped_wide": f"SELECT Year, {_WIDE_CELLS} FROM gapped_emissions WHERE Year >= 1900 GROUP BY 1",
     "countries": f"SELECT * FROM country_panel WHERE Country NOT IN {_in_list(CONTINENT_NAMES)}",
     "averages": f"""
 SELECT Country, avg(AverageTemperature) AS AverageTemperatureByCountry,
@@ -149,6 +151,7 @@ SELECT Country, avg(AverageTemperature) AS AverageTemperatureByCountry,
 FROM countries WHERE Year > {AFTER} GROUP BY 1""",
     "continents": _continents("raw_lookup"),
     "customer_continents": _continents("raw_customer_lookup"),
+    "partial_continents": _continents("partial_customer_lookup"),
 }
 
 
@@ -185,6 +188,10 @@ def emissions(spark, sf_dir):
     return op.country_emissions(v.emissions_panel(spark, sf_dir))
 
 
+def gapped_emissions(spark, sf_dir):
+    return op.country_emissions(v.gapped_panel(spark, sf_dir))
+
+
 def customer_emissions(spark, sf_dir):
     return op.country_emissions(v.customer_emissions_panel(spark, sf_dir))
 
@@ -197,13 +204,12 @@ def customer_temperatures(spark, sf_dir):
     return op.country_temperatures(v.customer_readings(spark, sf_dir))
 
 
-def country_panel(spark, sf_dir):
-    return op.country_panel(emissions(spark, sf_dir), temperatures(spark, sf_dir))
+def country_panel(spark, sf_dir, where=None):
+    return op.country_panel(emissions(spark, sf_dir), temperatures(spark, sf_dir), where=where)
 
 
 def averages(spark, sf_dir):
-    panel = country_panel(spark, sf_dir)
-    return op.country_averages(op.without_continents(panel, after=AFTER))
+    return op.country_averages(country_panel(spark, sf_dir, op.countries_only(AFTER)))
 
 
 # Emissions and temperatures, per year and per country.
@@ -300,9 +306,9 @@ def _(spark, sf_dir):
 # Pivot and fill.
 
 
-@_register("pivot_entities", _sql("SELECT * FROM wide"))
-def wide(spark, sf_dir):
-    return op.widen(emissions(spark, sf_dir))
+@_register("pivot_entities", _sql("SELECT * FROM gapped_wide"))
+def gapped_wide(spark, sf_dir):
+    return op.widen(gapped_emissions(spark, sf_dir))
 
 
 @_register(
@@ -310,11 +316,11 @@ def wide(spark, sf_dir):
     _sql(
         "SELECT Year, unnest(['France', 'Germany', 'United Kingdom']) AS Country,"
         " unnest([France_TotalEmissions, Germany_TotalEmissions, UnitedKingdom_TotalEmissions])"
-        " AS TotalEmissions FROM wide"
+        " AS TotalEmissions FROM gapped_wide"
     ),
 )
 def _(spark, sf_dir):
-    return op.lengthen(wide(spark, sf_dir))
+    return op.lengthen(gapped_wide(spark, sf_dir))
 
 
 _OCEANIA = _in_list(OCEANIA_TWO)
@@ -322,11 +328,11 @@ _OCEANIA = _in_list(OCEANIA_TWO)
 
 @_register(
     "leap_year_fill",
-    _sql(_fill(f"(SELECT * FROM emissions WHERE Country IN {_OCEANIA} )", "Year, Country")),
+    _sql(_fill(f"(SELECT * FROM gapped_emissions WHERE Country IN {_OCEANIA} )", "Year, Country")),
 )
 def _(spark, sf_dir):
     # The view groups by year and entity, so no pair occurs twice.
-    return op.leap_year_fill(emissions(spark, sf_dir), unique=True)
+    return op.leap_year_fill(gapped_emissions(spark, sf_dir), unique=True)
 
 
 @_register("leap_year_fill_all", _sql(_fill("customer_emissions", "Year, Country")))
@@ -334,9 +340,9 @@ def _(spark, sf_dir):
     return op.leap_year_fill(customer_emissions(spark, sf_dir), entities=None, unique=True)
 
 
-@_register("leap_year_fill_repeated", _sql(_fill("emission_records", "Record, Year, Country")))
+@_register("leap_year_fill_repeated", _sql(_fill("gapped_records", "Record, Year, Country")))
 def _(spark, sf_dir):
-    return op.fill_flagged(v.emission_records(spark, sf_dir), is_leap_year(F.col("Year")))
+    return op.fill_flagged(v.gapped_records(spark, sf_dir), is_leap_year(F.col("Year")))
 
 
 # Series and rankings.
@@ -344,7 +350,12 @@ def _(spark, sf_dir):
 
 @_register("exclude_aggregates", _sql(f"SELECT * FROM countries WHERE Year > {AFTER}"))
 def _(spark, sf_dir):
-    return op.without_continents(country_panel(spark, sf_dir), after=AFTER)
+    return country_panel(spark, sf_dir, op.countries_only(AFTER))
+
+
+@_register("exclude_aggregates_all_years", _sql("SELECT * FROM countries "))
+def _(spark, sf_dir):
+    return op.without_continents(country_panel(spark, sf_dir, op.countries_only()))
 
 
 @_register(
@@ -401,9 +412,9 @@ def _(spark, sf_dir):
     return _rounded(op.top_emitters(averages(spark, sf_dir)))
 
 
-@_register("hottest_countries", _top("AverageTemperatureByCountry", 30))
+@_register("hottest_countries", _top("AverageTemperatureByCountry", 8))
 def _(spark, sf_dir):
-    return _rounded(op.hottest_countries(averages(spark, sf_dir)))
+    return _rounded(op.hottest_countries(averages(spark, sf_dir), 8))
 
 
 @_register(
@@ -450,13 +461,13 @@ def _(spark, sf_dir):
 
 @_register(
     "continent_enrich_large",
-    _sql("SELECT * FROM customer_emissions LEFT JOIN customer_continents USING (Country)"),
+    _sql("SELECT * FROM customer_emissions LEFT JOIN partial_continents USING (Country)"),
 )
 def _(spark, sf_dir):
     # A lookup that grows with the data: past the limit it is not broadcast.
     return op.with_continent(
         customer_emissions(spark, sf_dir),
-        customer_continents(spark, sf_dir),
+        op.continent_lookup(v.partial_customer_lookup(spark, sf_dir)),
         broadcast=True,
         max_bytes=16 * 1024,
     )
@@ -487,7 +498,7 @@ def _(spark, sf_dir):
 FROM countries GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 3"""),
 )
 def _(spark, sf_dir):
-    return op.largest_emitters(op.without_continents(country_panel(spark, sf_dir)))
+    return op.largest_emitters(country_panel(spark, sf_dir, op.countries_only()))
 
 
 @_register(
@@ -511,16 +522,22 @@ _YARDSTICKS = " UNION ALL ".join(
 )
 
 
-@_register(
-    "rank_polluters",
-    _sql(f"""SELECT Country, Yardstick, Mean, Rank FROM (
+def _ranked(k: int) -> str:
+    return _sql(f"""SELECT Country, Yardstick, Mean, Rank FROM (
   SELECT *, CAST(rank() OVER (PARTITION BY Yardstick ORDER BY Mean DESC) AS integer) AS Rank
-  FROM ({_YARDSTICKS}) WHERE Mean IS NOT NULL) WHERE Rank <= 10"""),
-)
+  FROM ({_YARDSTICKS}) WHERE Mean IS NOT NULL) WHERE Rank <= {k}""")
+
+
+@_register("rank_polluters", _ranked(10))
 def _(spark, sf_dir):
     return op.rank_polluters(customer_emissions(spark, sf_dir))
 
 
+@_register("rank_polluters_deep", _ranked(1200))
+def _(spark, sf_dir):
+    return op.rank_polluters(customer_emissions(spark, sf_dir), k=1200)
+
+
 @_register(
     "worst_of_widened",
     _sql(f"""SELECT Country, sum(CAST(TotalEmissions AS double)) AS TotalEmissions
@@ -528,7 +545,7 @@ FROM emissions WHERE Year >= 1900 AND Country IN {_in_list(EUROPE_THREE)}
 GROUP BY 1 ORDER BY 2 DESC, 1"""),
 )
 def _(spark, sf_dir):
-    return op.worst_of_widened(wide(spark, sf_dir))
+    return op.worst_of_widened(op.widen(emissions(spark, sf_dir)))
 
 
 # Column names, files and tables. Each writes to a new scratch folder.
@@ -611,6 +628,16 @@ def _(spark, sf_dir):
     return sources.read_parquet(spark, path)
 
 
+@_register("partitioned_one_file_each", _sql("SELECT * FROM customer_emissions"))
+def _(spark, sf_dir):
+    path = scratch_dir(spark, "one-file-each")
+    frame = customer_emissions(spark, sf_dir)
+    sinks.write_partitioned(frame, path, ["Year"], one_file_each=True)
+    written = sources.read_parquet(spark, path)
+    sinks.check_output(spark, path, written.schema)
+    return written
+
+
 @_register("managed_table", _sql("SELECT * FROM customer_emissions"))
 def _(spark, sf_dir):
     [name] = sinks.write_tables(
@@ -643,6 +670,30 @@ def _(spark, sf_dir):
     return sources.read_parquet(spark, f"{chosen}/{EMISSIONS_DATASET}")
 
 
+@_register("source_primary", _sql("SELECT * FROM emissions_panel"))
+def _(spark, sf_dir):
+    # The primary place is complete, so the fallback, never written, is not read.
+    primary, fallback = scratch_dir(spark, "primary"), scratch_dir(spark, "fallback")
+    sinks.write_parquet(v.emissions_panel(spark, sf_dir), f"{primary}/{EMISSIONS_DATASET}")
+    chosen = sources.resolve_source(spark, primary, fallback, [EMISSIONS_DATASET])
+    return sources.read_parquet(spark, f"{chosen}/{EMISSIONS_DATASET}")
+
+
+@_register(
+    "enrichment_run", _sql("SELECT * FROM country_panel LEFT JOIN continents USING (Country)")
+)
+def _(spark, sf_dir):
+    target = scratch_dir(spark, "enrichment")
+    sinks.write_parquet(country_panel(spark, sf_dir), f"{target}/{COUNTRY_PANEL_DATASET}")
+    raw = v.raw_lookup(spark, sf_dir)
+    given = [
+        F.col(f.name) if f.name in raw.columns else F.lit(None).cast(f.dataType).alias(f.name)
+        for f in CONTINENT_CSV_SCHEMA
+    ]
+    csv = _write_csv(raw.select(*given), f"{target}/continents-csv")
+    return plans.run_enrichment(spark, target, csv)
+
+
 @_register("checked_output", _sql("SELECT count(*) AS records FROM emission_records"))
 def _(spark, sf_dir):
     path = scratch_dir(spark, "checked")
@@ -687,7 +738,9 @@ _RUN_OUTPUTS = {
     GLOBAL_PANEL_DATASET: "global_panel",
     COUNTRY_PANEL_DATASET: "country_panel",
     EUROPE_DATASET: "wide",
-    OCEANIA_DATASET: f"({REGISTRY['leap_year_fill'].sql})",
+    OCEANIA_DATASET: "("
+    + _fill(f"(SELECT * FROM emissions WHERE Country IN {_OCEANIA} )", "Year, Country")
+    + ")",
 }
 
 

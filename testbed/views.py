@@ -72,7 +72,12 @@ def _exact_sum(column: str) -> Column:
     return F.sum(F.col(column).cast("decimal(18,2)")).cast("double")
 
 
-def emissions_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
+def gapped_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The yearly emissions without some years of five nations, for pivots and fills."""
+    return emissions_panel(spark, sf_dir, gaps=True)
+
+
+def emissions_panel(spark: SparkSession, sf_dir: str, gaps: bool = False) -> DataFrame:
     """Yearly emissions of each nation, per head of its customers, and a share."""
     population = table(spark, sf_dir, "customer").groupBy("c_nationkey").agg(
         F.count("*").alias("heads")
@@ -80,7 +85,7 @@ def emissions_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation, year = F.col("c_nationkey"), F.col("Year")
     yearly = (
         _orders_by_customer(spark, sf_dir)
-        .filter(~_has_gap(nation, year))
+        .filter(~_has_gap(nation, year) if gaps else F.lit(True))
         .groupBy("Year", "c_nationkey")
         .agg(
             _exact_sum("o_totalprice").alias("Annual_CO2_emissions"),
@@ -110,12 +115,17 @@ def customer_emissions_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def emission_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+def gapped_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The records without some years of five nations, for fills."""
+    return emission_records(spark, sf_dir, gaps=True)
+
+
+def emission_records(spark: SparkSession, sf_dir: str, gaps: bool = False) -> DataFrame:
     """Every order as an emission record: many rows per year and country."""
     nation = F.col("c_nationkey")
     return (
         _orders_by_customer(spark, sf_dir)
-        .filter(~_has_gap(nation, F.col("Year")))
+        .filter(~_has_gap(nation, F.col("Year")) if gaps else F.lit(True))
         .select(
             F.col("o_orderkey").alias("Record"),
             "Year",
@@ -218,18 +228,20 @@ def raw_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return listed.unionByName(twins)
 
 
-def raw_customer_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Customers under formal names with their region as continent.
+def partial_customer_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The customers' lookup without every eleventh, for joins that find nothing."""
+    return raw_customer_lookup(spark, sf_dir, partial=True)
+
 
-    Every eleventh customer is missing and every seventh is listed twice.
-    """
+def raw_customer_lookup(spark: SparkSession, sf_dir: str, partial: bool = False) -> DataFrame:
+    """Customers under formal names with their region as continent, every seventh twice."""
     key = F.col("c_custkey")
     customers = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey")
     nations = table(spark, sf_dir, "nation").select(
         F.col("n_nationkey").alias("c_nationkey"), F.col("n_regionkey").alias("r_regionkey")
     )
     regions = table(spark, sf_dir, "region")
-    copies = F.when(key % 11 == 0, 0).when(key % 7 == 0, 2).otherwise(1)
+    copies = F.when(F.lit(partial) & (key % 11 == 0), 0).when(key % 7 == 0, 2).otherwise(1)
     return (
         customers.join(nations, "c_nationkey")
         .join(regions, "r_regionkey")
@@ -267,22 +279,41 @@ _SQL_NO_GAP = " AND ".join(
 )
 _SQL_SUM = "CAST(sum(CAST(o_totalprice AS decimal(18,2))) AS double)"
 
-SQL_VIEWS = {
-    "emissions_panel": f"""
+
+
+def _sql_panel(where: str) -> str:
+    return f"""
 SELECT Year, {_sql_name('y.c_nationkey')} AS Entity, Annual_CO2_emissions,
   Annual_CO2_emissions / heads AS Per_capita_CO2_emissions, Share_of_global_CO2_emissions
 FROM (SELECT CAST(year(o_orderdate) AS integer) AS Year, c_nationkey,
         {_SQL_SUM} AS Annual_CO2_emissions, CAST(count(*) AS double) AS Share_of_global_CO2_emissions
-      FROM orders JOIN customer ON o_custkey = c_custkey WHERE {_SQL_NO_GAP} GROUP BY 1, 2) y
-JOIN (SELECT c_nationkey, count(*) AS heads FROM customer GROUP BY 1) p ON y.c_nationkey = p.c_nationkey""",
+      FROM orders JOIN customer ON o_custkey = c_custkey WHERE {where} GROUP BY 1, 2) y
+JOIN (SELECT c_nationkey, count(*) AS heads FROM customer GROUP BY 1) p ON y.c_nationkey = p.c_nationkey"""
+
+
+def _sql_records(where: str) -> str:
+    return f"""
+SELECT o_orderkey AS Record, CAST(year(o_orderdate) AS integer) AS Year,
+  {_sql_name('c_nationkey')} AS Country, CAST(o_totalprice AS float) AS TotalEmissions
+FROM orders JOIN customer ON o_custkey = c_custkey WHERE {where}"""
+
+
+def _sql_customer_lookup(copies: str) -> str:
+    return f"""
+SELECT {_sql_formal('c_name', 'c_custkey')} AS Country_Name, r_name AS Continent_Name
+FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
+JOIN (VALUES (1), (2)) AS copies(n) ON n <= CASE {copies} WHEN c_custkey % 7 = 0 THEN 2 ELSE 1 END"""
+
+
+SQL_VIEWS = {
+    "emissions_panel": _sql_panel("true"),
+    "gapped_panel": _sql_panel(_SQL_NO_GAP),
     "customer_emissions_panel": f"""
 SELECT CAST(year(o_orderdate) AS integer) AS Year, c_name AS Entity, {_SQL_SUM} AS Annual_CO2_emissions,
   {_SQL_SUM} / count(*) AS Per_capita_CO2_emissions, CAST(count(*) AS double) AS Share_of_global_CO2_emissions
 FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1, 2""",
-    "emission_records": f"""
-SELECT o_orderkey AS Record, CAST(year(o_orderdate) AS integer) AS Year,
-  {_sql_name('c_nationkey')} AS Country, CAST(o_totalprice AS float) AS TotalEmissions
-FROM orders JOIN customer ON o_custkey = c_custkey WHERE {_SQL_NO_GAP}""",
+    "emission_records": _sql_records("true"),
+    "gapped_records": _sql_records(_SQL_NO_GAP),
     "dirty_readings": f"""
 SELECT {_sql_dirty(_sql_name('s_nationkey'), f's_nationkey = {JUNK_NATION}')}
 FROM lineitem JOIN supplier ON l_suppkey = s_suppkey""",
@@ -299,9 +330,6 @@ FROM nation JOIN region ON n_regionkey = r_regionkey WHERE n_nationkey <> {UNLIS
 UNION ALL
 SELECT concat({_sql_name('n_nationkey')}, ' (Twin)'), 'EXTRA' FROM nation
 WHERE n_nationkey = {TWICE_LISTED_NATION}""",
-    "raw_customer_lookup": f"""
-SELECT {_sql_formal('c_name', 'c_custkey')} AS Country_Name, r_name AS Continent_Name
-FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
-JOIN (VALUES (1), (2)) AS copies(n)
-  ON n <= CASE WHEN c_custkey % 11 = 0 THEN 0 WHEN c_custkey % 7 = 0 THEN 2 ELSE 1 END""",
+    "raw_customer_lookup": _sql_customer_lookup(""),
+    "partial_customer_lookup": _sql_customer_lookup("WHEN c_custkey % 11 = 0 THEN 0"),
 }

@@ -162,6 +162,33 @@ def test_scratch_dir(spark, monkeypatch):
     assert first.startswith(spark.conf.get("spark.checkpoint.dir") + "/")
 
 
+def test_scratch_without_checkpoint_folder(spark):
+    class Conf:
+        def get(self, name, *default):
+            return {"spark.sql.warehouse.dir": "file:/shared/warehouse"}.get(name, *default)
+
+    class Session:
+        conf = Conf()
+
+    assert scratch_dir(Session(), "x").startswith("file:/shared/warehouse/scratch/")
+
+
+def test_partitioned_output_is_checked(spark, emissions, tmp_path):
+    path = str(tmp_path / "partitioned")
+    sinks.write_partitioned(emissions, path, ["Year"])
+    schema = spark.read.parquet(path).schema
+    assert sinks.check_output(spark, path, schema, count=3) == 3
+    with pytest.raises(sinks.ContractBroken):
+        sinks.check_output(spark, path, schema, count=4)
+
+
+def test_database_at_another_place_is_refused(spark, tmp_path):
+    sinks.create_database(spark, "placed_db", str(tmp_path / "one\\'s"))
+    sinks.create_database(spark, "placed_db", str(tmp_path / "one\\'s"))
+    with pytest.raises(ValueError, match="is at"):
+        sinks.create_database(spark, "placed_db", str(tmp_path / "other"))
+
+
 # The whole run, from CSV files with untidy names and values to the panels.
 
 EMISSIONS_CSV = """\
@@ -210,7 +237,7 @@ def csv_paths(tmp_path_factory):
 @pytest.mark.parametrize("how", [{}, {"single_file": True, "persist": True}])
 def test_whole_run(spark, csv_paths, tmp_path, how):
     counts = plans.run_pipeline(
-        spark, csv_paths, str(tmp_path), user="jane.doe@example.com",
+        spark, csv_paths, str(tmp_path), user=f"jane.doe{len(how)}@example.com",
         location=str(tmp_path / "tables"), **how,
     )
     assert counts == {
@@ -239,7 +266,7 @@ def test_whole_run(spark, csv_paths, tmp_path, how):
     for name, suffix in fixed.TABLE_SUFFIXES.items():
         # Small panels come out as one file even when that is not asked for.
         assert len(data_files(target / name)) == 1
-        table = spark.table(f"janedoe.{fixed.TABLE_PREFIX}_{suffix}")
+        table = spark.table(f"janedoe{len(how)}.{fixed.TABLE_PREFIX}_{suffix}")
         assert table.schema == fixed.OUTPUT_SCHEMAS[name]
         assert table.count() == counts[name]
 

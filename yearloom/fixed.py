@@ -66,29 +66,47 @@ CONTINENT_CSV_SCHEMA = StructType(
 )
 
 
-def _panel_schema(measures: str, keys: str = "Year") -> StructType:
-    types = {"Year": IntegerType(), "Country": StringType()}
-    fields = [StructField(k, types[k]) for k in keys.split()]
-    return StructType(fields + [StructField(m, FloatType()) for m in measures.split()])
-
-
 # Schemas of the four published datasets, and the row counts
 # they have when built from the full historical inputs.
 OUTPUT_SCHEMAS = {
-    GLOBAL_PANEL_DATASET: _panel_schema(
-        "TotalEmissions LandAverageTemperature LandMaxTemperature"
-        " LandMinTemperature LandAndOceanAverageTemperature"
+    GLOBAL_PANEL_DATASET: StructType(
+        [
+            StructField("Year", IntegerType()),
+            StructField("TotalEmissions", FloatType()),
+            StructField("LandAverageTemperature", FloatType()),
+            StructField("LandMaxTemperature", FloatType()),
+            StructField("LandMinTemperature", FloatType()),
+            StructField("LandAndOceanAverageTemperature", FloatType()),
+        ]
+    ),
+    COUNTRY_PANEL_DATASET: StructType(
+        [
+            StructField("Year", IntegerType()),
+            StructField("Country", StringType()),
+            StructField("TotalEmissions", FloatType()),
+            StructField("PerCapitaEmissions", FloatType()),
+            StructField("ShareOfGlobalEmissions", FloatType()),
+            StructField("AverageTemperature", FloatType()),
+        ]
     ),
-    COUNTRY_PANEL_DATASET: _panel_schema(
-        "TotalEmissions PerCapitaEmissions ShareOfGlobalEmissions AverageTemperature",
-        keys="Year Country",
+    EUROPE_DATASET: StructType(
+        [
+            StructField("Year", IntegerType()),
+            StructField("France_TotalEmissions", FloatType()),
+            StructField("France_PerCapitaEmissions", FloatType()),
+            StructField("Germany_TotalEmissions", FloatType()),
+            StructField("Germany_PerCapitaEmissions", FloatType()),
+            StructField("UnitedKingdom_TotalEmissions", FloatType()),
+            StructField("UnitedKingdom_PerCapitaEmissions", FloatType()),
+        ]
     ),
-    EUROPE_DATASET: _panel_schema(
-        "France_TotalEmissions France_PerCapitaEmissions"
-        " Germany_TotalEmissions Germany_PerCapitaEmissions"
-        " UnitedKingdom_TotalEmissions UnitedKingdom_PerCapitaEmissions"
+    OCEANIA_DATASET: StructType(
+        [
+            StructField("Year", IntegerType()),
+            StructField("Country", StringType()),
+            StructField("TotalEmissions", FloatType()),
+        ]
     ),
-    OCEANIA_DATASET: _panel_schema("TotalEmissions", keys="Year Country"),
 }
 HISTORICAL_ROW_COUNTS = {
     GLOBAL_PANEL_DATASET: 266,

@@ -14,7 +14,7 @@ def storable_name(name: str) -> str:
 
 def compact_name(name: str) -> str:
     """A column name without its spaces."""
-    return "".join(name.split(" "))
+    return name.replace(" ", "")
 
 
 def database_name(user: str) -> str:
@@ -22,7 +22,7 @@ def database_name(user: str) -> str:
 
     The ASCII letters and digits before the ``@``, if there is one.
     """
-    name = re.sub(r"[^0-9A-Za-z]", "", user.partition("@")[0])
+    name = re.sub(r"[^A-Za-z0-9]", "", user.partition("@")[0])
     if not name:
         raise ValueError(f"no letter or digit in user name {user!r}")
     return name

@@ -26,6 +26,7 @@ from yearloom.operators.questions import (
     worst_of_widened,
 )
 from yearloom.operators.rank import (
+    countries_only,
     country_series,
     country_temperature_series,
     emissions_temperature_curve,
@@ -50,6 +51,7 @@ __all__ = [
     "after_year",
     "clean_readings",
     "continent_lookup",
+    "countries_only",
     "country_averages",
     "country_emissions",
     "country_panel",

@@ -4,7 +4,7 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from yearloom.functions import short_name
@@ -69,13 +69,22 @@ def global_panel(total_emissions: DataFrame, temperatures: DataFrame) -> DataFra
 
 
 def country_panel(
-    emissions: DataFrame, temperatures: DataFrame, salts: int = 1
+    emissions: DataFrame,
+    temperatures: DataFrame,
+    salts: int = 1,
+    where: Column | None = None,
 ) -> DataFrame:
     """Emissions beside the mean temperature of the same year and country.
 
+    ``where`` is a condition on ``Year`` and ``Country``. It is put to both
+    inputs, so that readings the join would drop are not aggregated first; a
+    filter of the result reaches the emissions only.
+
     Names must agree exactly: title-cased temperature names such as
     ``Bosnia And Herzegovina`` find no emissions row and are dropped.
     """
+    if where is not None:
+        emissions, temperatures = emissions.filter(where), temperatures.filter(where)
     return skew_safe_join(emissions, temperatures, ["Year", "Country"], "inner", salts)
 
 
@@ -114,14 +123,16 @@ def with_continent(
     broadcast: bool = False,
     max_bytes: int = BROADCAST_MAX_BYTES,
     salts: int = 1,
+    stored: int | None = None,
 ) -> DataFrame:
     """The panel with the continent of each country, NULL where unknown.
 
     As it stands Spark broadcasts the lookup where its known size is under the
-    session's threshold and shuffles otherwise. ``broadcast=True`` measures the
-    lookup first and sends it to every executor, whatever the threshold, if it
-    fits into ``max_bytes``.
+    session's threshold and shuffles otherwise. ``broadcast=True`` sends it to
+    every executor, whatever the threshold, if it fits into ``max_bytes``: by
+    the size ``stored`` of its files where the caller knows it, else measured by
+    a job of its own.
     """
-    if broadcast and fits_broadcast(lookup, max_bytes):
+    if broadcast and (stored <= max_bytes if stored is not None else fits_broadcast(lookup, max_bytes)):
         return panel.join(F.broadcast(lookup), on="Country", how="left")
     return skew_safe_join(panel, lookup, ["Country"], "left", salts)

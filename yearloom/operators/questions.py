@@ -1,6 +1,7 @@
 """Answers to the questions the data was collected for."""
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -65,15 +66,13 @@ def rank_polluters(
     long = means.unpivot("Country", list(yardsticks), "Yardstick", "Mean").filter("Mean IS NOT NULL")
     # Ranks are found on the different means, each with the number of countries
     # that have it, so that a mean shared by very many is one row. No rank up
-    # to k lies below the k-th of them; the limit directly on the window lets
-    # each task drop the rest before the shuffle.
+    # to k lies below the k-th of them, so the window sees k rows a yardstick.
+    different = long.groupBy("Yardstick", "Mean").agg(F.count("*").alias("countries"))
+    best = [
+        different.filter(F.col("Yardstick") == y).orderBy(F.desc("Mean")).limit(k) for y in yardsticks
+    ]
+    steps = reduce(DataFrame.unionAll, best)
     best_first = Window.partitionBy("Yardstick").orderBy(F.desc("Mean"))
-    steps = (
-        long.groupBy("Yardstick", "Mean")
-        .agg(F.count("*").alias("countries"))
-        .withColumn("step", F.row_number().over(best_first))
-        .filter(F.col("step") <= k)
-    )
     better = F.sum("countries").over(best_first.rowsBetween(Window.unboundedPreceding, -1))
     ranks = (
         steps.withColumn("Rank", F.coalesce(better, F.lit(0)) + 1)

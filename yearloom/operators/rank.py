@@ -6,7 +6,7 @@ order each time.
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from yearloom.fixed import (
@@ -44,6 +44,12 @@ def top_observations(panel: DataFrame, k: int = TOP_OBSERVATIONS) -> DataFrame:
     return top_rows(panel, "TotalEmissions", k, ["Country", "Year"])
 
 
+def countries_only(after: int | None = None) -> Column:
+    """The condition of :func:`without_continents`, for the inputs of a panel."""
+    kept = ~F.col("Country").isin(*CONTINENT_NAMES)
+    return kept if after is None else kept & (F.col("Year") > after)
+
+
 def without_continents(panel: DataFrame, after: int | None = None) -> DataFrame:
     """The panel without the rows of whole continents, if wanted only after a year."""
     kept = drop_entities(panel, CONTINENT_NAMES)

@@ -28,7 +28,7 @@ from yearloom.operators import (
     yearly_temperatures,
     yearly_total,
 )
-from yearloom.scratch import settled
+from yearloom.scratch import remove, scratch_dir, settled
 from yearloom.sinks import check_output, write_parquet, write_tables
 from yearloom.sources import read_parquet, resolve_source
 
@@ -77,10 +77,11 @@ def run_transformation(
     emissions = country_emissions(raw, discard)
     # Settled first, their size decides how the panel is joined: while they are
     # small enough to broadcast, the emissions need no shuffle for it.
-    temperatures = settled(country_temperatures(country_readings), "temperatures")
+    scratch = scratch_dir(spark, "temperatures")
     if persist:
         emissions = emissions.persist()
     try:
+        temperatures = settled(country_temperatures(country_readings), "temperatures", scratch)
         panels = published_panels(emissions, global_readings, temperatures)
         for name, panel in panels.items():
             keys = [c for c in ("Year", "Country") if c in panel.columns]
@@ -88,6 +89,7 @@ def run_transformation(
     finally:
         if persist:
             emissions.unpersist()
+        remove(spark, scratch)
     counts = counts or {}
     return {
         name: check_output(
@@ -104,9 +106,14 @@ def publish_tables(
     location: str | None = None,
     single_file: bool = False,
 ) -> list[str]:
-    """Copy the written panels into managed tables of the user's database."""
+    """Copy the written panels into managed tables of the user's database.
+
+    The panels are sorted as they are written, and the tables take their rows
+    file by file; only a single file is sorted again.
+    """
     tables = {
         f"{TABLE_PREFIX}_{suffix}": read_parquet(spark, f"{target}/{name}")
         for name, suffix in TABLE_SUFFIXES.items()
     }
-    return write_tables(spark, database_name(user), tables, ["Year"], single_file, location)
+    sort_by = ["Year"] if single_file else ()
+    return write_tables(spark, database_name(user), tables, sort_by, single_file, location)

@@ -3,7 +3,7 @@
 from pyspark.sql import SparkSession
 from pyspark.sql.types import StructType
 
-from yearloom.sources import file_names
+from yearloom.sources import file_names, files_below
 
 
 class ContractBroken(AssertionError):
@@ -25,7 +25,12 @@ def check_output(
     names = file_names(spark, path)
     if names is None:
         raise ContractBroken(f"{path}: no such dataset")
-    parts = [n for n in names if n.endswith(".snappy.parquet") and n[0] not in "._"]
+    # Those of a dataset partitioned by column lie in folders of their own.
+    parts = [
+        f
+        for f in files_below(spark, path)
+        if f.endswith(".snappy.parquet") and all(n[0] not in "._" for n in f.split("/"))
+    ]
     wrong = []
     if names.count("_SUCCESS") != 1:
         wrong.append("no _SUCCESS mark")

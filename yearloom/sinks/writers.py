@@ -5,6 +5,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 
 from yearloom.operators import in_order
+from yearloom.sources import same_place
 
 
 def _arranged(df: DataFrame, sort_by: Sequence[str], single_file: bool) -> DataFrame:
@@ -48,10 +49,23 @@ def write_partitioned(
     writer.partitionBy(*columns).parquet(path)
 
 
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 def create_database(spark: SparkSession, name: str, location: str | None = None) -> None:
-    """Create a database if it is missing; the session's current one stays."""
-    where = "" if location is None else " LOCATION '" + location.replace("'", "\\'") + "'"
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}`{where}")
+    """Create a database if it is missing; the session's current one stays.
+
+    One that exists at another place than ``location`` is an error.
+    """
+    if location is None:
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {_quoted(name)}")
+        return
+    text = location.replace("\\", "\\\\").replace("'", "\\'")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {_quoted(name)} LOCATION '{text}'")
+    place = spark.catalog.getDatabase(_quoted(name)).locationUri
+    if not same_place(spark, place, location):
+        raise ValueError(f"database {name} is at {place}, not at {location}")
 
 
 def write_table(
@@ -73,7 +87,7 @@ def write_tables(
     create_database(spark, database, location)
     written = []
     for name, df in tables.items():
-        full = f"`{database}`.`{name}`"
+        full = f"{_quoted(database)}.{_quoted(name)}"
         write_table(df, full, sort_by, single_file)
         written.append(f"{database}.{name}")
     return written

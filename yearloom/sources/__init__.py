@@ -1,14 +1,22 @@
 """Inputs: CSV, Parquet and the readiness check for a producer's output."""
 
-from yearloom.sources.files import file_names, is_complete, stored_bytes
+from yearloom.sources.files import (
+    file_names,
+    files_below,
+    is_complete,
+    same_place,
+    stored_bytes,
+)
 from yearloom.sources.readers import read_continents, read_csv, read_parquet, resolve_source
 
 __all__ = [
     "file_names",
+    "files_below",
     "is_complete",
     "read_continents",
     "read_csv",
     "read_parquet",
     "resolve_source",
+    "same_place",
     "stored_bytes",
 ]

@@ -24,6 +24,23 @@ def file_names(spark: SparkSession, directory: str) -> list[str] | None:
     return sorted(entry.getPath().getName() for entry in fs.listStatus(path))
 
 
+def files_below(spark: SparkSession, directory: str) -> list[str]:
+    """Paths of all files in a directory and those below it, relative to it."""
+    fs, path = _opened(spark, directory)
+    root, found = fs.resolvePath(path).toString().rstrip("/") + "/", []
+    listing = fs.listFiles(path, True)
+    while listing.hasNext():
+        found.append(listing.next().getPath().toString().removeprefix(root))
+    return sorted(found)
+
+
+def same_place(spark: SparkSession, one: str, other: str) -> bool:
+    """Whether the escaped URI ``one`` and the path ``other`` name one place."""
+    fs, b = _opened(spark, other)
+    a = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(one))
+    return fs.makeQualified(a).toString() == fs.makeQualified(b).toString()
+
+
 def is_complete(spark: SparkSession, directory: str) -> bool:
     """Whether a writer finished ``directory``: success mark and a Parquet file.
 
