@@ -41,22 +41,22 @@ FROM good WHERE len(starts) > 0 GROUP BY doc_id, item_id"""
 THREE_LINE_WINDOWS = f"""
 WITH l AS (
   SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
-    unnest(range(0, len(string_split(text, chr(10))))) AS at FROM documents),
+    unnest(range(0, len(string_split(text, chr(10))))) AS pos FROM documents),
 filled AS (
-  SELECT doc_id, at, trim(line, {_BLANKS}) AS content FROM l WHERE trim(line, {_BLANKS}) <> ''),
+  SELECT doc_id, pos, trim(line, {_BLANKS}) AS content FROM l WHERE trim(line, {_BLANKS}) <> ''),
 w AS (
-  SELECT doc_id, at AS first, lead(at, {line_dedup.WINDOW - 1}) OVER own AS last, content AS a,
+  SELECT doc_id, pos AS head, lead(pos, {line_dedup.WINDOW - 1}) OVER own AS tail, content AS a,
     lead(content, 1) OVER own AS b, lead(content, 2) OVER own AS c
-  FROM filled WINDOW own AS (PARTITION BY doc_id ORDER BY at)),
+  FROM filled WINDOW own AS (PARTITION BY doc_id ORDER BY pos)),
 later AS (
-  SELECT doc_id, first, last FROM (
-    SELECT *, row_number() OVER (PARTITION BY a, b, c ORDER BY doc_id, first) AS nth
-    FROM w WHERE last IS NOT NULL) WHERE nth > 1),
-gone AS (SELECT DISTINCT l.doc_id, l.at FROM l JOIN later ON l.doc_id = later.doc_id AND l.at BETWEEN first AND last),
-marked AS (SELECT l.*, gone.at IS NOT NULL AS out FROM l LEFT JOIN gone ON l.doc_id = gone.doc_id AND l.at = gone.at)
+  SELECT doc_id, head, tail FROM (
+    SELECT *, row_number() OVER (PARTITION BY a, b, c ORDER BY doc_id, head) AS nth
+    FROM w WHERE tail IS NOT NULL) WHERE nth > 1),
+gone AS (SELECT DISTINCT l.doc_id, l.pos FROM l JOIN later ON l.doc_id = later.doc_id AND l.pos BETWEEN head AND tail),
+marked AS (SELECT l.*, gone.pos IS NOT NULL AS out FROM l LEFT JOIN gone ON l.doc_id = gone.doc_id AND l.pos = gone.pos)
 SELECT doc_id, CAST(count(*) FILTER (out) AS bigint) AS n_removed,
-  coalesce(string_agg(CAST(at AS varchar), ',' ORDER BY at) FILTER (out), '') AS removed_lines,
-  md5(coalesce(string_agg(line, chr(10) ORDER BY at) FILTER (NOT out), '')) AS kept_md5
+  coalesce(string_agg(CAST(pos AS varchar), ',' ORDER BY pos) FILTER (out), '') AS removed_lines,
+  md5(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT out), '')) AS kept_md5
 FROM marked GROUP BY doc_id"""
 
 SQL = {
