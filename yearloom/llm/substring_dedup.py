@@ -114,19 +114,41 @@ def suffix_order(symbols: np.ndarray) -> np.ndarray:
     for k in range(done):
         alive &= padded[k : k + n] > 0
         key = key * 257 + np.where(alive, padded[k : k + n], 0)
-    ended = ~alive
-    while True:
-        order = np.argsort(key, kind="stable")
-        ranked = key[order]
-        new = np.concatenate([[True], (ranked[1:] != ranked[:-1]) | ended[order[1:]] | ended[order[:-1]]])
-        rank = np.empty(n, np.int64)
-        rank[order] = np.cumsum(new)
-        if rank[order[-1]] == n:
-            return order
-        later = np.zeros(n, np.int64)
-        later[: max(0, n - done)] = rank[done:]
-        key, ended = rank * (n + 1) + later, np.zeros(n, bool)
+    order = np.argsort(key)
+    # Suffixes that have ended are told apart by their places alone.
+    slots = np.flatnonzero(~alive[order])
+    order[slots] = order[slots][np.lexsort((order[slots], key[order[slots]]))]
+    sorted_key = key[order]
+    new = np.concatenate([[True], sorted_key[1:] != sorted_key[:-1]])
+    new[slots] = True
+    # The rank of a suffix is where its group begins in the order.
+    rank = np.empty(n, np.int64)
+    rank[order] = _run_starts(new)
+    open_ones = order[~_alone(new)]
+    while len(open_ones):
+        after = open_ones + done
+        later = np.where(after < n, rank[np.minimum(after, n - 1)] + 1, 0)
+        key = rank[open_ones] * (n + 1) + later
+        by_key = np.argsort(key)
+        own, key = open_ones[by_key], key[by_key]
+        group = rank[own]
+        first = _run_starts(np.concatenate([[True], group[1:] != group[:-1]]))
+        new = np.concatenate([[True], key[1:] != key[:-1]])
+        rank[own] = group + _run_starts(new) - first
+        open_ones = own[~_alone(new)]
         done *= 2
+    order[rank] = np.arange(n)
+    return order
+
+
+def _run_starts(new: np.ndarray) -> np.ndarray:
+    """For every element where its run begins."""
+    return np.maximum.accumulate(np.where(new, np.arange(len(new)), 0))
+
+
+def _alone(new: np.ndarray) -> np.ndarray:
+    """Whether an element is a run of its own."""
+    return new & np.append(new[1:], True)
 
 
 def _common(symbols: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
