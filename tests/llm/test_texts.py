@@ -83,6 +83,41 @@ def test_losses_are_those_of_a_plain_model(spark):
     assert lm_scoring.score_documents(docs.limit(0), labels(spark, [])).count() == 0
 
 
+def plain_losses(texts, good, settings):
+    """Both mean losses of every text by exact counts, with a dictionary of words."""
+    sides, lists = [], [t.lower().split() for t in texts]
+    for chosen in (good, range(len(texts))):
+        single, pairs = Counter(), Counter()
+        for k in chosen:
+            single.update(lists[k])
+            pairs.update(zip(lists[k], lists[k][1:]))
+        sides.append((single, pairs))
+    size = max(len(sides[1][0]), 1 << settings.word_bits)
+    n_good, n_all = (sum(single.values()) for single, _ in sides)
+    for words in lists:
+        means = []
+        for (single, pairs), share in zip(sides, (1.0, n_good / n_all)):
+            losses = []
+            for before, word in zip([None, *words], words):
+                p1 = (share * single[word] + settings.added) / (n_good + settings.added * size)
+                weight = settings.pair_weight * (1 - (1 - share) ** single[before])
+                p2 = pairs[before, word] / max(single[before], 1)
+                losses.append(-np.log2(weight * p2 + (1 - weight) * p1))
+            means.append(np.mean(losses))
+        yield means
+
+
+def test_losses_with_more_words_than_the_least_vocabulary(spark):
+    rng = np.random.default_rng(5)
+    settings = lm_scoring.Settings(word_bits=6)
+    texts = [" ".join(f"W{int(k)}" for k in rng.zipf(1.3, 120) % 4000) for _ in range(60)]
+    good = list(range(0, 60, 3))
+    docs = documents(spark, list(enumerate(texts))).repartition(5)
+    found = lm_scoring.score_documents(docs, labels(spark, [(k, 1, 0) for k in good]), settings).collect()
+    for r, expected in zip(sorted(found), plain_losses(texts, good, settings), strict=True):
+        assert (r.target_loss, r.background_loss) == pytest.approx(expected, rel=1e-9)
+
+
 def test_archives_come_back(spark):
     big = "x" * 300_000 + "é\r\n\r\nWARC/1.1\r\n"
     rows = [(1, "http://a/ b", "same"), (5, None, "same"), (5, "u", "same"), (3, "http://c", big),

@@ -1,18 +1,23 @@
 """Cross-entropy difference of matched n-gram models.
 
-Two bigram models share one vocabulary: every word is one of ``2 ** word_bits``
-hashed words, every bigram one of ``2 ** pair_bits`` hashed pairs. The target
-model is counted on the documents labelled as good, the background model on a
-random part of all documents, chosen by a hash of their ids and matched in size.
-Both are smoothed alike. A document's score is the mean difference of the losses
-that both models have for each of its words; below zero it is more like the
-target than like the corpus.
-
-The tables have a fixed size, so the models are sent to every task and scoring
-shuffles nothing. The counts are summed by task before they are shuffled.
+Two bigram models share one vocabulary, order and smoothing. Words and bigrams
+are counted by 64-bit keys, in a stored table that grows with the corpus. The
+target model is counted on the documents labelled as good, the background model
+on every document. The background is then matched in size: with ``s`` the
+target's share of all words, its single words count ``s`` times, and a bigram
+weighs as much as it does on average in random parts of that share, that is by
+the probability that such a part has its first word. A document's score is the
+mean difference of the losses that both models have for each of its words; below
+zero it is more like the target than like the corpus.
+
+Texts are stored in blocks. A block sends each of its different keys once, with
+its counts, to the task that has that range of keys, and gets the counts of the
+corpus back in the order of the keys. So a frequent word costs a task no more
+than one entry a block, and no task needs more of the table than one range.
 """
 
 from dataclasses import dataclass
+from uuid import uuid4
 
 import numpy as np
 import pyarrow as pa
@@ -22,142 +27,219 @@ from pyspark.sql import functions as F
 from yearloom.llm.shingles import mixed, word_hashes
 from yearloom.scratch import settled
 
+#: Bytes of text in a block, and bytes of all texts for each range of keys.
+_BLOCK, _RANGE = 1 << 23, 1 << 23
+_KIND = np.uint64(1)
+
 
 @dataclass(frozen=True)
 class Settings:
     """``pair_weight`` is the weight of the bigram against the single word.
 
-    ``added`` is added to the count of every word of the vocabulary.
+    ``added`` is added to the count of every word of the vocabulary, which has
+    ``2 ** word_bits`` words, or as many as the corpus where that has more.
     """
 
     word_bits: int = 18
-    pair_bits: int = 20
     pair_weight: float = 0.6
     added: float = 0.5
 
 
-@dataclass(frozen=True)
-class Model:
-    """Counts of words and of pairs, and all words together."""
-
-    words: np.ndarray
-    pairs: np.ndarray
-    total: float
-
-
-def _ids(text: bytes | None, settings: Settings) -> tuple[np.ndarray, np.ndarray]:
-    """Hashed words and pairs of a text; the first word follows a start mark."""
+def _keys(text: bytes | None) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of the words and of the pairs of neighbours: 63 bits of hash, one for the kind."""
     hashes = word_hashes(text or b"")
-    before = np.concatenate([np.zeros(1, np.uint64), hashes[:-1]]) if len(hashes) else hashes
-    pairs = mixed(before * np.uint64(0xD6E8FEB86659FD93) + hashes)
-    return (
-        (hashes >> np.uint64(64 - settings.word_bits)).astype(np.int64),
-        (pairs >> np.uint64(64 - settings.pair_bits)).astype(np.int64),
-    )
+    pairs = mixed(hashes[:-1] * np.uint64(0xD6E8FEB86659FD93) + hashes[1:])
+    return hashes & ~_KIND, pairs | _KIND
 
 
-def _count(settings: Settings):
-    """Per task the counts of words, then of pairs, in target and background."""
+def _packed(numbers: np.ndarray) -> bytes:
+    """64-bit numbers without the high bytes that all have zero, after how many are left.
+
+    Byte by byte of all numbers, as most of them then compress well.
+    """
+    width = max(1, (int(numbers.max()).bit_length() + 7) // 8)
+    split = np.ascontiguousarray(numbers).view(np.uint8).reshape(-1, 8)
+    return bytes([width]) + split[:, :width].T.tobytes()
+
+
+def _unpacked(data: bytes, kind: type) -> np.ndarray:
+    width = data[0]
+    whole = np.zeros(((len(data) - 1) // width, 8), np.uint8)
+    whole[:, :width] = np.frombuffer(data, np.uint8, offset=1).reshape(width, -1).T
+    return whole.view(kind).ravel()
+
+
+def _blocks(batches):
+    """Each row with the number of its block."""
+    block, size = uuid4().int >> 65, 0
+    for batch in batches:
+        numbers = []
+        for text in batch.column("text"):
+            if size > _BLOCK:
+                block, size = uuid4().int >> 65, 0
+            numbers.append(block)
+            size += len(text.as_buffer() or b"")
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(numbers, pa.int64()), *batch.columns], names=["block", *batch.schema.names]
+        )
+
+
+def _counted(bits: int):
+    """A block's different keys and their counts in all and in good documents, by range."""
+    schema = pa.schema(
+        [("range", pa.int32()), ("block", pa.int64()), ("keys", pa.binary()), ("total", pa.binary()), ("good", pa.binary())]
+    )
+
+    def rows(block: int, found: list[list[np.ndarray]]):
+        of_good = sum(map(len, found[1]))
+        keys, which = np.unique(np.concatenate([*found[1], *found[0]]), return_inverse=True)
+        total = np.bincount(which, minlength=len(keys)).astype(np.int64)
+        good = np.bincount(which[:of_good], minlength=len(keys)).astype(np.int64)
+        ranges = (keys >> np.uint64(64 - bits)).astype(np.int64)
+        keys &= np.uint64((1 << (64 - bits)) - 1)  # the range is known
+        edges = [0, *(np.flatnonzero(np.diff(ranges)) + 1).tolist(), len(keys)]
+        for start, end in zip(edges[:-1], edges[1:]):
+            if start < end:
+                steps = np.diff(keys[start:end], prepend=np.uint64(0))
+                part = [np.array([ranges[start]], np.int32), np.array([block]), [_packed(steps)]]
+                part += [[_packed(total[start:end])], [_packed(good[start:end])]]
+                columns = [pa.array(v, t) for v, t in zip(part, schema.types)]
+                yield pa.RecordBatch.from_arrays(columns, schema=schema)
 
     def run(batches):
-        first_pair = 1 << settings.word_bits
-        counts = np.zeros((2, first_pair + (1 << settings.pair_bits)), np.int64)
+        block, found = None, [[], []]
         for batch in batches:
-            columns = (batch.column(c) for c in ("text", "target", "background"))
-            for text, *sides in zip(*columns):
-                chosen = [k for k, side in enumerate(sides) if side.as_py()]
-                if chosen:
-                    words, pairs = _ids(text.as_py(), settings)
-                    both = np.concatenate([words, pairs + first_pair])
-                    places, n = np.unique(both, return_counts=True)
-                    for k in chosen:
-                        counts[k, places] += n
-        seen = np.flatnonzero(counts.any(axis=0))
-        for part in np.array_split(seen, max(1, len(seen) // 200_000)):
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(part, pa.int64()), *(pa.array(c[part], pa.int64()) for c in counts)],
-                names=["place", "target", "background"],
-            )
+            for number, text, good in zip(*(batch.column(c) for c in ("block", "text", "good"))):
+                if number.as_py() != block:
+                    if any(found):
+                        yield from rows(block, found)
+                    block, found = number.as_py(), [[], []]
+                found[good.as_py()] += _keys(text.as_py())
+        if any(found):
+            yield from rows(block, found)
 
     return run
 
 
-def _losses(model: Model, words: np.ndarray, pairs: np.ndarray, settings: Settings) -> np.ndarray:
-    """The model's loss in bits for each word."""
-    size = len(model.words)
-    single = (model.words[words] + settings.added) / (model.total + settings.added * size)
-    # The start mark has no count of its own: its pairs weigh nothing.
-    before = np.concatenate([np.zeros(1), model.words[words[:-1]]])
-    pair = np.minimum(model.pairs[pairs] / np.maximum(before, 1), 1.0)
-    weight = np.where(before > 0, settings.pair_weight, 0.0)
-    return -np.log2(weight * pair + (1 - weight) * single)
+_ANSWER = "range int, block long, total binary, good binary, n_words long, all_words long, good_words long"
 
 
-def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -> tuple[Model, Model]:
-    """Target and background model.
+def _answered(table: pa.Table) -> pa.Table:
+    """The counts of a range's keys in the corpus, for each block that asked.
 
-    The target are the documents of an id labelled with ``quality`` 1, also if
-    it is labelled 0 elsewhere. The background is as large a share of all
-    documents; both are counted over the whole table.
+    The first row also has how many different words the range has, and how often
+    they occur in all and in good documents.
     """
-    good = labels.filter("quality = 1 AND doc_id IS NOT NULL").select(F.col("doc_id").alias("id")).distinct()
-    good = settled(good, "target-ids")
-    own = docs.select("doc_id", F.col("text").cast("binary").alias("text"))
-    texts = own.join(good, F.col("doc_id") == F.col("id"), "left")
-    is_good = F.col("id").isNotNull()
-    sizes = docs.select("doc_id").join(good, F.col("doc_id") == F.col("id"), "left").agg(
-        F.count("*").alias("all"), F.coalesce(F.count_if(is_good), F.lit(0)).alias("good")
-    ).first()
-    share = sizes["good"] / sizes["all"] if sizes["all"] else 0.0
-    # A part of the corpus by a hash of the id; the number of a million decides.
-    matched = F.pmod(F.xxhash64(F.lit("background"), "doc_id"), F.lit(1_000_000)) < share * 1_000_000
-    sides = texts.select("text", is_good.alias("target"), matched.alias("background"))
-    counts = sides.filter("target OR background").mapInArrow(
-        _count(settings), "place long, target long, background long"
-    )
-    counts = counts.groupBy("place").agg(F.sum("target").alias("target"), F.sum("background").alias("background"))
-    # One row for each word and pair of the fixed tables at most.
-    rows = counts.toPandas()
-    first_pair, place = 1 << settings.word_bits, rows["place"].to_numpy(np.int64)
-    models = []
-    for side in ("target", "background"):
-        table = np.zeros(first_pair + (1 << settings.pair_bits), np.float32)
-        table[place] = rows[side].to_numpy(np.float32)
-        words = table[:first_pair]
-        models.append(Model(words, table[first_pair:], float(words.sum(dtype=np.float64))))
-    return models[0], models[1]
-
-
-def score_text(text: bytes | None, target: Model, background: Model, settings: Settings):
-    """Words, mean loss of either model and their difference; nulls without a word."""
-    words, pairs = _ids(text, settings)
-    if not len(words):
-        return 0, None, None, None
-    of_target = float(_losses(target, words, pairs, settings).mean())
-    of_background = float(_losses(background, words, pairs, settings).mean())
-    return len(words), of_target, of_background, of_target - of_background
+    parts = [np.cumsum(_unpacked(k.as_py(), np.uint64), dtype=np.uint64) for k in table.column("keys")]
+    keys, which = np.unique(np.concatenate(parts), return_inverse=True)
+    sums = []
+    for side in ("total", "good"):
+        own = np.concatenate([_unpacked(c.as_py(), np.int64) for c in table.column(side)])
+        # Doubles hold sums below 2 ** 53 exactly.
+        sums.append(np.bincount(which, own, len(keys)).astype(np.int64))
+    asked: dict[int, list[np.ndarray]] = {}
+    for block, own in zip(table.column("block").to_pylist(), np.split(which, np.cumsum([len(p) for p in parts[:-1]]))):
+        asked.setdefault(block, []).append(own)
+    words, rows = (keys & _KIND) == 0, []
+    for block, own in asked.items():
+        # A block read by several tasks asks in parts.
+        places = own[0] if len(own) == 1 else np.unique(np.concatenate(own))
+        about = (None,) * 3 if rows else (int(words.sum()), *(int(s[words].sum()) for s in sums))
+        rows.append((table.column("range")[0].as_py(), block, *(_packed(s[places]) for s in sums), *about))
+    types = [pa.int32(), pa.int64(), pa.binary(), pa.binary(), *[pa.int64()] * 3]
+    names = [c.split()[0] for c in _ANSWER.split(", ")]
+    return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=names)
+
+
+@dataclass(frozen=True)
+class Sizes:
+    """Words of the vocabulary, of all documents and of the good ones."""
+
+    vocabulary: int
+    total: int
+    good: int
+
+
+def _losses(words, before, pairs, share: float, sizes: Sizes, settings: Settings) -> np.ndarray:
+    """The loss in bits for each word, by the counts of it, the one before and both.
+
+    ``share`` is the part of the counted words to which the model is scaled.
+    """
+    single = (share * words + settings.added) / (sizes.good + settings.added * sizes.vocabulary)
+    # The first word has none before it: its pair weighs nothing.
+    weight = settings.pair_weight * (1 - np.power(1 - share, before))
+    return -np.log2(weight * pairs / np.maximum(before, 1) + (1 - weight) * single)
+
+
+def _scored(sizes: Sizes, settings: Settings):
+    share = sizes.good / sizes.total if sizes.total else 0.0
+
+    def run(docs: pa.Table, answers: pa.Table) -> pa.Table:
+        order = np.argsort(np.array(answers.column("range"), np.int64))
+        texts = [_keys(t.as_py()) for t in docs.column("text")]
+        flat = [k for both in texts for k in both]
+        keys, which = np.unique(np.concatenate([np.zeros(0, np.uint64), *flat]), return_inverse=True)
+        counts = []
+        for side in ("total", "good"):
+            own = answers.column(side)
+            own = [_unpacked(own[int(i)].as_py(), np.int64) for i in order]
+            counts.append(np.concatenate([np.zeros(0, np.int64), *own]).astype(np.float64))
+            if len(counts[-1]) != len(keys):
+                raise ValueError("a block's keys have changed since they were counted")
+        rows, at = [], 0
+        for words, pairs in texts:
+            n, end = len(words), at + len(words) + len(pairs)
+            means = []
+            for count, part in ((counts[1], 1.0), (counts[0], share)):
+                own = count[which[at : at + n]]
+                if n:
+                    before = np.concatenate([np.zeros(1), own[:-1]])
+                    both = np.concatenate([np.zeros(1), count[which[at + n : end]]])
+                    means.append(float(_losses(own, before, both, part, sizes, settings).mean()))
+            rows.append((n, *means, means[0] - means[1]) if n else (0, None, None, None))
+            at = end
+        columns = list(zip(*rows)) or [[]] * 4
+        types = [pa.int64(), *[pa.float64()] * 3]
+        return pa.Table.from_arrays(
+            [docs.column("doc_id"), *(pa.array(c, t) for c, t in zip(columns, types))],
+            names=["doc_id", "n_words", "target_loss", "background_loss", "difference"],
+        )
+
+    return run
 
 
 def score_documents(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """``doc_id``, ``n_words``, both losses in bits a word and their ``difference``.
 
-    Every row of ``docs`` gives one row. A null text or one without words has no
-    losses. Without labelled documents both models are empty and differ nowhere.
+    The target are the documents of an id labelled with ``quality`` 1, also if
+    it is labelled 0 elsewhere; the background are all documents, the target's
+    among them. Every row of ``docs`` gives one row. A null text or one without
+    words has no losses. Without labelled documents both models are empty and
+    differ nowhere.
     """
-    target, background = fit(docs, labels, settings)
-    kind = docs.schema["doc_id"].dataType.simpleString()
-
-    def run(batches):
-        for batch in batches:
-            scored = [score_text(t.as_py(), target, background, settings) for t in batch.column("text")]
-            columns = list(zip(*scored)) or [[]] * 4
-            types = [pa.int64(), *[pa.float64()] * 3]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), *(pa.array(c, t) for c, t in zip(columns, types))],
-                names=["doc_id", "n_words", "target_loss", "background_loss", "difference"],
-            )
-
-    texts = docs.select("doc_id", F.col("text").cast("binary").alias("text"))
-    return texts.mapInArrow(
-        run, f"doc_id {kind}, n_words long, target_loss double, background_loss double, difference double"
+    good = labels.filter("quality = 1 AND doc_id IS NOT NULL").select(F.col("doc_id").alias("id")).distinct()
+    good = settled(good, "target-ids")
+    own = docs.select("doc_id", F.col("text").cast("binary").alias("text"))
+    own = own.join(good, F.col("doc_id") == F.col("id"), "left")
+    own = own.select("doc_id", "text", F.col("id").isNotNull().alias("good"))
+    kind = own.schema["doc_id"].dataType.simpleString()
+    texts = settled(
+        own.mapInArrow(_blocks, f"block long, doc_id {kind}, text binary, good boolean"), "blocks"
+    )
+    size = texts.agg(F.sum(F.length("text"))).first()[0] or 0
+    bits = max(4, (size // _RANGE).bit_length())
+    asked = texts.select("block", "text", "good").mapInArrow(
+        _counted(bits), "range int, block long, keys binary, total binary, good binary"
+    )
+    answers = settled(asked.groupBy("range").applyInArrow(_answered, _ANSWER), "counts")
+    found = answers.agg(*[F.coalesce(F.sum(c), F.lit(0)) for c in ("n_words", "all_words", "good_words")]).first()
+    sizes = Sizes(max(1 << settings.word_bits, found[0]), found[1], found[2])
+    return (
+        texts.select("block", "doc_id", "text")
+        .groupBy("block")
+        .cogroup(answers.select("block", "range", "total", "good").groupBy("block"))
+        .applyInArrow(
+            _scored(sizes, settings),
+            f"doc_id {kind}, n_words long, target_loss double, background_loss double, difference double",
+        )
     )
