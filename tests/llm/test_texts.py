@@ -118,6 +118,14 @@ def test_losses_with_more_words_than_the_least_vocabulary(spark):
         assert (r.target_loss, r.background_loss) == pytest.approx(expected, rel=1e-9)
 
 
+def test_background_is_counted_on_every_document(spark):
+    rows = [(k, prose(40)) for k in range(3)] + [(k, prose(40, 100 * k)) for k in range(10, 50)]
+    found = lm_scoring.score_documents(documents(spark, rows), labels(spark, [(k, 1, 0) for k in range(3)]))
+    # Documents that are alike but for their words, whatever their id.
+    losses = [r.background_loss for r in found.collect() if r.doc_id >= 10]
+    assert len(losses) == 40 and max(losses) == pytest.approx(min(losses))
+
+
 def test_archives_come_back(spark):
     big = "x" * 300_000 + "é\r\n\r\nWARC/1.1\r\n"
     rows = [(1, "http://a/ b", "same"), (5, None, "same"), (5, "u", "same"), (3, "http://c", big),
