@@ -83,6 +83,19 @@ def test_losses_are_those_of_a_plain_model(spark):
     assert lm_scoring.score_documents(docs.limit(0), labels(spark, [])).count() == 0
 
 
+def test_rare_script_has_its_own_bands(spark):
+    rng = np.random.default_rng(3)
+    latin, han = [f"word{k}" for k in range(300)], [chr(0x4E00 + k) + chr(0x4E80 + k) for k in range(100)]
+    text = lambda words: " ".join(rng.choice(words, 80).tolist())
+    rows = [(k, "en", text(latin)) for k in range(150)]
+    rows += [(1000 + k, "zh", text(han)) for k in range(12)] + [(2000 + k, None, text(han)) for k in range(2)]
+    docs = spark.createDataFrame(rows, "doc_id long, lang string, text string")
+    found = fertility.judge(docs, P.path("piece_bpe_32k.model")).collect()
+    assert all(r.kept for r in found if r.doc_id >= 1000)
+    assert sum(r.kept for r in found) > 155
+    assert fertility.script_of("’ hi") == fertility.script_of("") == "Latin"
+
+
 def plain_losses(texts, good, settings):
     """Both mean losses of every text by exact counts, with a dictionary of words."""
     sides, lists = [], [t.lower().split() for t in texts]

@@ -5,7 +5,8 @@ text that a tokenizer breaks up far more or less than other texts of its
 language is most likely not prose: characters per token, tokens per word, the
 share of bytes that no piece covers and the entropy of the tokens are compared
 with bands, the quartiles of all sound documents of the language widened by a
-multiple of their distance. Documents without language are banded by script.
+multiple of their distance. Documents without language are banded by script. The
+fewer documents a language has, the more its quartiles are drawn to its script's.
 """
 
 import re
@@ -14,7 +15,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from yearloom.llm.rows import quoted
@@ -34,7 +35,7 @@ SCRIPTS = (
 )
 MEASURES = ("chars_per_token", "tokens_per_word", "byte_share", "token_entropy")
 _SCHEMA = (
-    "doc_id {id}, language string, n_words long, word_chars long, n_symbols long, "
+    "doc_id {id}, language string, script string, n_words long, word_chars long, n_symbols long, "
     "n_dup_lines long, n_repeat_words long, n_tokens long, "
     "chars_per_token double, tokens_per_word double, byte_share double, token_entropy double"
 )
@@ -44,14 +45,16 @@ _SCHEMA = (
 class Settings:
     """The base rules, and how far a band reaches beyond the quartiles.
 
-    A band needs ``least_documents`` sound documents of the language; fewer take
-    the bands of all documents. ``slack`` is added to a band on either side.
+    The quartiles of a language are the mean of its own, weighted by its sound
+    documents, and those of the document's script, weighted as ``prior``
+    documents. ``slack`` is added to a band on either side, and the more of it
+    the fewer sound documents the script has: twice as much for ``prior`` ones.
     """
 
     least_words: int = 50
     most_repeated_percent: int = 50
     reach: float = 3.0
-    least_documents: int = 100
+    prior: float = 25.0
     slack: tuple[float, ...] = (0.02, 0.05, 0.02, 0.1)
 
 
@@ -86,10 +89,13 @@ class Pieces:
 
 def script_of(text: str) -> str:
     """The script of most letters; Latin for a text without."""
+    # Letters before the second block are of the first script.
+    points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+    beyond = points[points >= SCRIPTS[1][0]].tolist()
+    if not any(chr(p).isalpha() for p in beyond):
+        return SCRIPTS[0][1]
     letters = "".join(filter(str.isalpha, text))
     points = np.frombuffer(letters.encode("utf-32-le", "surrogatepass"), np.uint32)
-    if not len(points):
-        return SCRIPTS[0][1]
     block = np.searchsorted([s for s, _ in SCRIPTS], points, "right") - 1
     counts: dict[str, int] = {}
     for i, n in enumerate(np.bincount(block).tolist()):
@@ -142,9 +148,10 @@ def _measure(pieces: Callable[[], Pieces]):
             rows, kind = [], batch.column("doc_id").type
             for doc_id, lang, text in zip(*(batch.column(c) for c in ("doc_id", "lang", "text"))):
                 text = text.as_py()
-                language = lang.as_py() or f"script {script_of(text or '')}"
-                rows.append((doc_id.as_py(), language, *measures(text, own)))
-            types = [kind, pa.string(), *[pa.int64()] * 6, *[pa.float64()] * 4]
+                script = script_of(text or "")
+                language = lang.as_py() or f"script {script}"
+                rows.append((doc_id.as_py(), language, script, *measures(text, own)))
+            types = [kind, pa.string(), pa.string(), *[pa.int64()] * 6, *[pa.float64()] * 4]
             names = [c.split()[0] for c in _SCHEMA.split(", ")]
             columns = zip(*rows) if rows else [[]] * len(types)
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=names)
@@ -164,19 +171,25 @@ def measured(docs: DataFrame, model: str) -> DataFrame:
     return rows.mapInArrow(_measure(lambda: Pieces(model)), _SCHEMA.format(id=kind))
 
 
-def bands(sound: DataFrame, settings: Settings, *by: str) -> DataFrame:
-    """The lowest and highest value of each measure in its band, by the given columns."""
-    found = sound.groupBy(*by).agg(
-        F.count("*").alias("documents"),
+def quartiles(sound: DataFrame, by: str) -> DataFrame:
+    """Documents and both quartiles of each measure, by the given column."""
+    return sound.groupBy(by).agg(
+        F.count("*").alias(f"{by}_documents"),
         # Rounded, there are few different values to count, and the quartiles are exact.
-        *[F.percentile(F.round(m, 3), F.array(F.lit(0.25), F.lit(0.75))).alias(m) for m in MEASURES],
+        *[F.percentile(F.round(m, 3), F.array(F.lit(0.25), F.lit(0.75))).alias(f"{by}_{m}") for m in MEASURES],
     )
-    limits = []
-    for m, slack in zip(MEASURES, settings.slack):
-        low, high = F.get(m, F.lit(0)), F.get(m, F.lit(1))
-        around = (high - low) * settings.reach + slack
-        limits += [(low - around).alias(f"{m}_low"), (high + around).alias(f"{m}_high")]
-    return found.select(*by, "documents", *limits)
+
+
+def band(measure: str, slack: float, settings: Settings) -> tuple[Column, Column]:
+    """The lowest and highest value of a measure for the language and script of a row."""
+    n, of_script = F.col("language_documents"), F.col("script_documents")
+    low, high = [
+        (n * F.get(f"language_{measure}", F.lit(k)) + settings.prior * F.get(f"script_{measure}", F.lit(k)))
+        / (n + settings.prior)
+        for k in (0, 1)
+    ]
+    around = (high - low) * settings.reach + slack * (1 + F.sqrt(settings.prior / of_script))
+    return low - around, high + around
 
 
 def judge(docs: DataFrame, model: str, settings: Settings = Settings()) -> DataFrame:
@@ -192,15 +205,12 @@ def judge(docs: DataFrame, model: str, settings: Settings = Settings()) -> DataF
     )
     rows = found.withColumn("base_failed", failed)
     sound = rows.filter("NOT base_failed")
-    own = settled(
-        bands(sound, settings, "language").filter(F.col("documents") >= settings.least_documents), "bands"
-    )
-    every = bands(sound, settings).first()
-    joined = rows.join(own, "language", "left")
+    own = settled(quartiles(sound, "language"), "quartiles")
+    of_script = settled(quartiles(sound, "script"), "quartiles")
+    joined = rows.join(own, "language", "left").join(of_script, "script", "left")
     inside = F.lit(True)
-    for m in MEASURES:
-        low = F.coalesce(F.col(f"{m}_low"), F.lit(every[f"{m}_low"]))
-        high = F.coalesce(F.col(f"{m}_high"), F.lit(every[f"{m}_high"]))
+    for m, slack in zip(MEASURES, settings.slack):
+        low, high = band(m, slack, settings)
         inside &= F.col(m).between(low, high)
     kept = ~F.col("base_failed") & F.coalesce(inside, F.lit(False))
-    return joined.select(*rows.columns, kept.alias("kept"))
+    return joined.select(*[c for c in rows.columns if c != "script"], kept.alias("kept"))
