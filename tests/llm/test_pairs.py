@@ -185,6 +185,20 @@ def test_urls(spark):
     assert url_filter.judge(pages.limit(0)).count() == 0
 
 
+def test_rare_substrings_count_at_every_size(spark):
+    texts = [(f"\x02{'a' * 30}{k}/x\x03", 1) for k in range(2000)]
+    texts += [("\x02qz\x03", 1), ("\x02yz\x03", 0), ("\x02aay\x03", 0)]
+    examples = spark.createDataFrame(texts, "text string, accepted int")
+    weights, unknown = url_filter._model(examples, url_filter.Settings())
+    assert weights.filter("s = '\x02qz\x03'").count() == 1
+    table = examples.select("text")
+    sent, joined = [
+        sorted(url_filter._scores(table, weights, unknown, url_filter.Settings(most_sent=most, hot_share=1e-3)).collect())
+        for most in (10**9, 0)
+    ]
+    assert sent == joined and len(sent) == len(texts)
+
+
 def test_url_weights_are_those_of_the_models(spark):
     texts = [("\x02ab\x03", 1), ("\x02abab\x03", 1), ("\x02cb\x03", 0), ("\x02ca\x03", 0)]
     settings = url_filter.Settings(order=2, min_share=0.0)

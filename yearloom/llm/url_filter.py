@@ -3,8 +3,7 @@
 Where a rule fits, the longest one decides. The URLs decided so are the examples
 that two character models are learnt from, one of accepted and one of rejected
 URLs. A model predicts each character of host and path from those before it. It
-has variable order: a context counts only if a given share of all positions has
-it, and each order is smoothed by the next shorter one, so that
+has variable order: a context counts if it was seen, and each order is smoothed by the next shorter one, so that
 
     p(x | c) = (count(c x) + m * p(x | c without its first)) / (count(c) + m).
 
@@ -56,8 +55,10 @@ RULES = (
 class Settings:
     """``order`` is the longest context, ``mass`` the weight of the shorter one.
 
-    A substring counts if at least ``min_share`` of all positions have it, so
-    each length has at most ``1 / min_share`` of them whatever the input.
+    A substring counts if at least ``min_share`` of all positions have it; at 0
+    every one does. Up to ``most_sent`` weights are sent to every task. Of more,
+    those of substrings that ``hot_share`` of the positions have are, which are
+    at most ``1 / hot_share`` of each length, and the others joined by shuffle.
     ``alphabet`` is the number of characters an unseen one is one of. One in
     ``folds`` examples is held out to find the threshold, which is sought among
     multiples of ``step`` of at most ``limit`` either way.
@@ -65,7 +66,9 @@ class Settings:
 
     order: int = 4
     mass: float = 2.0
-    min_share: float = 2e-5
+    min_share: float = 0.0
+    hot_share: float = 2e-5
+    most_sent: int = 250_000
     alphabet: int = 256
     folds: int = 5
     step: float = 0.01
@@ -103,7 +106,7 @@ def _substrings(table: DataFrame, longest: int) -> DataFrame:
 
 
 def _model(examples: DataFrame, settings: Settings) -> tuple[DataFrame, float]:
-    """Weight in millionths by substring, and that of an unknown character.
+    """Weight in millionths and size by substring, and the weight of an unknown character.
 
     ``examples`` has ``text`` and ``accepted``, 1 or 0.
     """
@@ -119,7 +122,7 @@ def _model(examples: DataFrame, settings: Settings) -> tuple[DataFrame, float]:
     alone = counts.filter((F.length("s") == 1) & (F.col("s") != START))
     totals = alone.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in sides]).first()
     least = settings.min_share * (totals[0] + totals[1])
-    kept = counts.filter(size >= least).withColumn("length", F.length("s"))
+    kept = counts.filter(size >= least).withColumn("length", F.length("s")).withColumn("size", size)
     after = counts.filter((F.length("s") > 1)).groupBy(
         F.substr("s", F.lit(1), F.length("s") - 1).alias("s")
     )
@@ -130,6 +133,7 @@ def _model(examples: DataFrame, settings: Settings) -> tuple[DataFrame, float]:
     contexts = settled(
         contexts.select(
             F.col("s").alias("context"),
+            size.alias("uses"),
             *[(F.col(c) + m).alias(f"{c}_all") for c in sides],
             (F.log(m / (F.col("accepted") + m)) - F.log(m / (F.col("rejected") + m))).alias("shorter"),
         ),
@@ -137,10 +141,11 @@ def _model(examples: DataFrame, settings: Settings) -> tuple[DataFrame, float]:
     )
     level = kept.filter((F.col("length") == 1) & (F.col("s") != START)).select(
         "s",
+        "size",
         *[((F.col(c) + m * uniform) / (totals[c] + m)).alias(f"p_{c}") for c in sides],
     )
     base = F.log(F.lit(unknown["accepted"])) - F.log(F.lit(unknown["rejected"]))
-    grams = level.select("s", (F.log("p_accepted") - F.log("p_rejected") - base).alias("gain"))
+    grams = level.select("s", "size", (F.log("p_accepted") - F.log("p_rejected") - base).alias("gain"))
     for k in range(2, settings.order + 2):
         shorter = level.select(
             F.col("s").alias("suffix"), *[F.col(f"p_{c}").alias(f"q_{c}") for c in sides]
@@ -153,24 +158,36 @@ def _model(examples: DataFrame, settings: Settings) -> tuple[DataFrame, float]:
             .join(contexts, "context")
         )
         p = [((F.col(c) + m * F.col(f"q_{c}")) / F.col(f"{c}_all")).alias(f"p_{c}") for c in sides]
-        level = settled(joined.select("s", "q_accepted", "q_rejected", "shorter", *p), "order")
+        level = settled(joined.select("s", "size", "q_accepted", "q_rejected", "shorter", *p), "order")
         gain = (F.log("p_accepted") - F.log("q_accepted")) - (F.log("p_rejected") - F.log("q_rejected"))
-        grams = grams.unionAll(level.select("s", (gain - F.col("shorter")).alias("gain")))
-    both = grams.unionAll(contexts.select(F.col("context").alias("s"), F.col("shorter").alias("gain")))
-    weights = both.groupBy("s").agg(F.sum(F.round(F.col("gain") * _MICRO).cast("long")).alias("weight"))
+        grams = grams.unionAll(level.select("s", "size", (gain - F.col("shorter")).alias("gain")))
+    both = grams.unionAll(contexts.select(F.col("context").alias("s"), "uses", F.col("shorter").alias("gain")))
+    weights = both.groupBy("s").agg(
+        F.sum(F.round(F.col("gain") * _MICRO).cast("long")).alias("weight"),
+        F.max("size").alias("size"),
+        F.lit(totals[0] + totals[1]).alias("positions"),
+    )
     first = examples.sparkSession.range(1).select(F.round(base * _MICRO).cast("long")).first()[0]
     return settled(weights, "weights"), first
 
 
 def _scores(texts: DataFrame, weights: DataFrame, unknown: int, settings: Settings) -> DataFrame:
     """``text`` and ``score`` of every different text."""
-    # At most 1 / min_share weights for each length, so of a known size.
-    found = _substrings(texts.withColumn("whole", F.col("text")), settings.order + 1)
-    found = found.join(F.broadcast(weights), "s", "left")
-    sums = found.groupBy("whole").agg(F.sum(F.coalesce("weight", F.lit(0))).alias("sum"))
-    n = F.length("whole") - 1
+    table = settled(texts.select(F.monotonically_increasing_id().alias("id"), F.col("text")), "texts")
+    found = _substrings(table, settings.order + 1)
+    many = weights.count() > settings.most_sent
+    sent = weights.filter(F.col("size") >= settings.hot_share * F.col("positions")) if many else weights
+    found = found.join(F.broadcast(sent.select("s", "weight")), "s", "left")
+    parts = found.select("id", F.coalesce("weight", F.lit(0)).alias("weight"))
+    if many:
+        rare = weights.filter(F.col("size") < settings.hot_share * F.col("positions"))
+        asked = found.filter("weight IS NULL").groupBy("s", "id").agg(F.count("*").alias("times"))
+        joined = asked.join(rare.select("s", "weight"), "s")
+        parts = parts.unionAll(joined.select("id", F.col("times") * F.col("weight")))
+    sums = parts.groupBy("id").agg(F.sum("weight").alias("sum")).join(table, "id")
+    n = F.length("text") - 1
     score = (F.col("sum") + unknown * n) / n / _MICRO
-    return sums.select(F.col("whole").alias("text"), score.alias("score"))
+    return sums.select("text", score.alias("score"))
 
 
 def _threshold(scored: DataFrame, settings: Settings) -> float:
