@@ -3,6 +3,7 @@
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 from functools import reduce
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,7 +36,7 @@ from yearloom.functions import (
     title_name,
     without_sentinel,
 )
-from yearloom.scratch import scratch_dir
+from yearloom.scratch import scratch_dir, settled
 
 # The generated years run from 1995 to 2001.
 AFTER = 1996
@@ -638,16 +639,36 @@ def _(spark, sf_dir):
     return written
 
 
+def _published(spark: SparkSession, *versions: DataFrame, keep_replaced: bool = False) -> DataFrame:
+    """The rows of a table published once for each of ``versions``, in a database of its own."""
+    database, name = f"yearloom_testbed_{uuid4().hex}", None
+    sinks.create_database(spark, database, scratch_dir(spark, "warehouse"))
+    try:
+        for rows in versions:
+            [name] = sinks.write_tables(
+                spark, database, {"panel": rows}, ["Year"], keep_replaced=keep_replaced
+            )
+        return settled(spark.table(name), "published")
+    finally:
+        sinks.drop_database(spark, database)
+
+
 @_register("managed_table", _sql("SELECT * FROM customer_emissions"))
 def _(spark, sf_dir):
-    [name] = sinks.write_tables(
-        spark,
-        "yearloom_testbed",
-        {"customer_emissions": customer_emissions(spark, sf_dir)},
-        sort_by=["Year"],
-        location=scratch_dir(spark, "warehouse"),
-    )
-    return spark.table(name)
+    return _published(spark, customer_emissions(spark, sf_dir))
+
+
+@_register("managed_table_again", _sql("SELECT * FROM customer_emissions"))
+def _(spark, sf_dir):
+    # Rows of the same form take the place of others in one step of the catalog.
+    rows = customer_emissions(spark, sf_dir)
+    return _published(spark, op.after_year(rows, AFTER), rows, keep_replaced=True)
+
+
+@_register("managed_table_new_columns", _sql("SELECT * FROM customer_emissions"))
+def _(spark, sf_dir):
+    rows = customer_emissions(spark, sf_dir)
+    return _published(spark, rows.select("Year", "Country"), rows)
 
 
 @_register("continent_csv", _sql("SELECT * FROM customer_continents"))
@@ -719,10 +740,15 @@ def _whole_run(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         for name, df in frames.items()
     }
     schemas = {name: df.schema for name, df in frames.items()}
-    user = "testbed.whole-run@example.com"
-    plans.run_pipeline(spark, csv_paths, base, schemas, user, f"{base}/tables")
-    prefix = f"{database_name(user)}.{TABLE_PREFIX}"
-    return {name: spark.table(f"{prefix}_{end}") for name, end in TABLE_SUFFIXES.items()}
+    user = f"testbed.{uuid4().hex}@example.com"
+    try:
+        plans.run_pipeline(spark, csv_paths, base, schemas, user, f"{base}/tables")
+        prefix = f"{database_name(user)}.{TABLE_PREFIX}"
+        return {
+            name: settled(spark.table(f"{prefix}_{end}"), end) for name, end in TABLE_SUFFIXES.items()
+        }
+    finally:
+        sinks.drop_database(spark, database_name(user))
 
 
 def _long(panel: DataFrame, dataset: str) -> DataFrame:

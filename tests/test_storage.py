@@ -1,10 +1,14 @@
 """Readers, writers, tables, checks and the whole run."""
 
+from pathlib import Path
+
 import pytest
+from conftest import TESTDATA
 from helpers import emission_rows, frame
 from pyspark.sql import functions as F
 from pyspark.sql.types import FloatType, StringType, StructField, StructType
 
+from testbed import registry
 from yearloom import fixed, plans, sinks, sources
 from yearloom.scratch import scratch_dir
 
@@ -156,6 +160,100 @@ def test_tables(spark, emissions, tmp_path):
     assert spark.catalog.currentDatabase() == current
 
 
+def location_of(spark, table):
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()
+    return next(r["data_type"] for r in described if r["col_name"] == "Location").removeprefix("file:")
+
+
+@pytest.fixture
+def database(spark, tmp_path):
+    sinks.create_database(spark, "published_db", str(tmp_path / "d b"))
+    yield tmp_path / "d b"
+    sinks.drop_database(spark, "published_db")
+
+
+def test_table_is_published_again(spark, emissions, database):
+    publish = lambda df, **how: sinks.write_tables(spark, "published_db", {"t": df}, ["Year"], **how)
+    publish(emissions)
+    first = location_of(spark, "published_db.t")
+    before = spark.table("published_db.t")
+    publish(emissions.filter("Year = 2000"), keep_replaced=True)
+    # A reader that began before still reads all that it began with.
+    assert rows(before) == rows(emissions)
+    assert rows(spark.table("published_db.t")) == rows(emissions.filter("Year = 2000"))
+    second = location_of(spark, "published_db.t")
+    assert first != second and sorted(p.name for p in database.iterdir()) == sorted(["t", Path(second).name])
+    # The new rows may come from those they replace; the kept ones go now.
+    publish(spark.table("published_db.t").filter("Country = 'B'"))
+    assert rows(spark.table("published_db.t").select("Year", "TotalEmissions")) == [(2000, 3.0)]
+    assert [p.name for p in database.iterdir()] == [Path(location_of(spark, "published_db.t")).name]
+    assert spark.catalog.getTable("published_db.t").tableType == "MANAGED"
+
+
+def test_failed_publication_leaves_the_old_rows(spark, emissions, database):
+    sinks.write_table(emissions, "t", database="published_db")
+    broken = emissions.withColumn("Country", F.raise_error(F.lit("stopped half-way")))
+    for bad in (broken, broken.withColumn("More", F.lit(1))):
+        with pytest.raises(Exception, match="half-way"):
+            sinks.write_table(bad, "t", database="published_db")
+        assert rows(spark.table("published_db.t")) == rows(emissions)
+    sinks.write_table(emissions.filter("Year = 2001"), "t", database="published_db")
+    assert rows(spark.table("published_db.t")) == rows(emissions.filter("Year = 2001"))
+    assert len(list(database.iterdir())) == 1
+    assert [t.name for t in spark.catalog.listTables("published_db")] == ["t"]
+
+
+def test_new_table_after_a_stopped_run(spark, emissions, database):
+    left = database / "t" / "_temporary" / "0"
+    left.mkdir(parents=True)
+    (database / "t" / "part-0.snappy.parquet").touch()
+    (database / f"t__published_{'0' * 32}").mkdir()
+    sinks.write_table(emissions, "t", database="published_db")
+    assert rows(spark.table("published_db.t")) == rows(emissions)
+    assert [p.name for p in database.iterdir()] == ["t"]
+    # What is no writer's work in a table's place is not removed.
+    (database / "other").mkdir()
+    (database / "other" / "letter.txt").touch()
+    with pytest.raises(Exception, match="(?i)location"):
+        sinks.write_table(emissions, "other", database="published_db")
+    assert (database / "other" / "letter.txt").exists()
+
+
+def test_new_columns_and_a_run_stopped_between_renamings(spark, emissions, database):
+    sinks.write_table(emissions.select("Year"), "t", database="published_db")
+    sinks.write_table(emissions, "t", database="published_db")
+    assert rows(spark.table("published_db.t")) == rows(emissions)
+    retired = f"published_db.t__published_{'a' * 32}_retired"
+    spark.sql(f"ALTER TABLE published_db.t RENAME TO {retired}")
+    broken = emissions.withColumn("Country", F.raise_error(F.lit("stopped half-way")))
+    with pytest.raises(Exception, match="half-way"):
+        sinks.write_table(broken, "t", database="published_db")
+    assert rows(spark.table("published_db.t")) == rows(emissions)
+    sinks.write_table(emissions.select("Year"), "t", database="published_db")
+    assert spark.table("published_db.t").columns == ["Year"]
+    assert [t.name for t in spark.catalog.listTables("published_db")] == ["t"]
+
+
+def test_external_tables_are_not_replaced(spark, emissions, database, tmp_path):
+    emissions.write.option("path", str(tmp_path / "own")).saveAsTable("published_db.outside")
+    with pytest.raises(ValueError, match="managed"):
+        sinks.write_table(emissions, "outside", database="published_db")
+
+
+def test_unlocated_call_takes_the_database_where_it_is(spark, emissions, database):
+    sinks.create_database(spark, "published_db")
+    sinks.write_tables(spark, "published_db", {"t": emissions})
+    assert location_of(spark, "published_db.t").startswith(str(database))
+
+
+@pytest.mark.parametrize("name", ["managed_table", "managed_table_again", "whole_run"])
+def test_queries_that_publish_run_twice(spark, name):
+    databases = {d.name for d in spark.catalog.listDatabases()}
+    first, second = (rows(registry.queries()[name](spark, str(TESTDATA / "sf0.001"))) for _ in range(2))
+    assert len(first) == len(second) > 0
+    assert {d.name for d in spark.catalog.listDatabases()} == databases
+
+
 def test_scratch_dir(spark, monkeypatch):
     first, second = scratch_dir(spark, "x"), scratch_dir(spark, "x")
     assert first != second
@@ -172,6 +270,14 @@ def test_scratch_without_checkpoint_folder(spark):
 
     assert scratch_dir(Session(), "x").startswith("file:/shared/warehouse/scratch/")
 
+    class Cluster(Conf):
+        def get(self, name, *default):
+            return "yarn" if name == "spark.master" else super().get(name, *default)
+
+    Session.conf = Cluster()
+    with pytest.raises(ValueError, match="checkpoint"):
+        scratch_dir(Session(), "x")
+
 
 def test_partitioned_output_is_checked(spark, emissions, tmp_path):
     path = str(tmp_path / "partitioned")

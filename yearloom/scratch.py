@@ -9,11 +9,15 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     """A new path under a folder that all executors share.
 
     That is the session's ``spark.checkpoint.dir`` or, where it is unset, a
-    folder in the warehouse.
+    folder in the warehouse. A warehouse on the driver's own disk will not do on
+    a cluster and is refused there.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
         shared = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/scratch"
+        one_machine = spark.conf.get("spark.master", "local").split("[")[0] == "local"
+        if shared.startswith("file:") and not one_machine:
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     return f"{shared.rstrip('/')}/yearloom-{label}-{uuid4().hex}"
 
 

@@ -1,18 +1,14 @@
 """Outputs: Parquet datasets, managed tables and checks on them."""
 
 from yearloom.sinks.contract import ContractBroken, check_output
-from yearloom.sinks.writers import (
-    create_database,
-    write_parquet,
-    write_partitioned,
-    write_table,
-    write_tables,
-)
+from yearloom.sinks.tables import create_database, drop_database, write_table, write_tables
+from yearloom.sinks.writers import write_parquet, write_partitioned
 
 __all__ = [
     "ContractBroken",
     "check_output",
     "create_database",
+    "drop_database",
     "write_parquet",
     "write_partitioned",
     "write_table",

@@ -1,14 +1,13 @@
-"""Writing datasets and managed tables. Every write replaces what was there."""
+"""Writing Parquet datasets. Every write replaces what was there."""
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
+from pyspark.sql import DataFrame, DataFrameWriter
 
 from yearloom.operators import in_order
-from yearloom.sources import same_place
 
 
-def _arranged(df: DataFrame, sort_by: Sequence[str], single_file: bool) -> DataFrame:
+def arranged(df: DataFrame, sort_by: Sequence[str], single_file: bool) -> DataFrame:
     if not single_file:
         return in_order(df, sort_by) if sort_by else df
     # Only the last step, and no more of the plan, is left to the single task.
@@ -16,7 +15,7 @@ def _arranged(df: DataFrame, sort_by: Sequence[str], single_file: bool) -> DataF
     return one.sortWithinPartitions(*sort_by) if sort_by else one
 
 
-def _writer(df: DataFrame) -> DataFrameWriter:
+def writer(df: DataFrame) -> DataFrameWriter:
     return df.write.mode("overwrite").option("compression", "snappy")
 
 
@@ -29,7 +28,7 @@ def write_parquet(
     sends all rows through one task, which takes the time and the local disk
     that sorting and writing all of them needs; leave it off for large output.
     """
-    _writer(_arranged(df, sort_by, single_file)).parquet(path)
+    writer(arranged(df, sort_by, single_file)).parquet(path)
 
 
 def write_partitioned(
@@ -45,49 +44,5 @@ def write_partitioned(
         together = df.repartition(*columns)
     else:
         together = df.hint("rebalance", *columns)
-    writer = _writer(together).option("partitionOverwriteMode", "static")
-    writer.partitionBy(*columns).parquet(path)
-
-
-def _quoted(name: str) -> str:
-    return "`" + name.replace("`", "``") + "`"
-
-
-def create_database(spark: SparkSession, name: str, location: str | None = None) -> None:
-    """Create a database if it is missing; the session's current one stays.
-
-    One that exists at another place than ``location`` is an error.
-    """
-    if location is None:
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS {_quoted(name)}")
-        return
-    text = location.replace("\\", "\\\\").replace("'", "\\'")
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {_quoted(name)} LOCATION '{text}'")
-    place = spark.catalog.getDatabase(_quoted(name)).locationUri
-    if not same_place(spark, place, location):
-        raise ValueError(f"database {name} is at {place}, not at {location}")
-
-
-def write_table(
-    df: DataFrame, table: str, sort_by: Sequence[str] = (), single_file: bool = False
-) -> None:
-    """Write ``df`` as the managed Parquet table ``database.table``."""
-    _writer(_arranged(df, sort_by, single_file)).format("parquet").saveAsTable(table)
-
-
-def write_tables(
-    spark: SparkSession,
-    database: str,
-    tables: Mapping[str, DataFrame],
-    sort_by: Sequence[str] = (),
-    single_file: bool = False,
-    location: str | None = None,
-) -> list[str]:
-    """Create ``database`` and write every table into it; returns their full names."""
-    create_database(spark, database, location)
-    written = []
-    for name, df in tables.items():
-        full = f"{_quoted(database)}.{_quoted(name)}"
-        write_table(df, full, sort_by, single_file)
-        written.append(f"{database}.{name}")
-    return written
+    by_value = writer(together).option("partitionOverwriteMode", "static")
+    by_value.partitionBy(*columns).parquet(path)
