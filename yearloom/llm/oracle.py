@@ -59,7 +59,55 @@ SELECT doc_id, CAST(count(*) FILTER (out) AS bigint) AS n_removed,
   md5(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT out), '')) AS kept_md5
 FROM marked GROUP BY doc_id"""
 
+_WHOLE = """
+  SELECT row_number() OVER () AS n, vec_id,
+    list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS double)) AS bigint)) AS e
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0"""
+
+TOP_MATCHES = f"""
+WITH v AS ({_WHOLE}),
+scored AS (
+  SELECT q.n, q.vec_id AS query_id, c.vec_id, CAST(list_sum(list_transform(
+    range(1, least(len(q.e), len(c.e)) + 1), lambda i: q.e[i] * c.e[i])) AS bigint) AS score
+  FROM v q JOIN v c ON q.n <> c.n WHERE q.vec_id % 100 = 0)
+SELECT query_id, rank, vec_id, score FROM (
+  SELECT *, CAST(row_number() OVER (PARTITION BY n ORDER BY score DESC, vec_id) AS integer) AS rank FROM scored)
+WHERE rank <= 10"""
+
+
+def _nearest(r: int) -> str:
+    return f"""a{r} AS MATERIALIZED (SELECT n, c, distance FROM (
+  SELECT n, c, distance, row_number() OVER (PARTITION BY n ORDER BY distance, c) AS nth FROM (
+    SELECT x.n, c.c, sum((x.v - c.v) * (x.v - c.v)) AS distance FROM x JOIN c{r} c USING (d) GROUP BY 1, 2))
+  WHERE nth = 1)"""
+
+
+def _means(r: int) -> str:
+    return f"""c{r + 1} AS MATERIALIZED (SELECT old.c, old.d,
+    coalesce(CAST((m.s - ((m.s % m.n) + m.n) % m.n) // m.n AS bigint), old.v) AS v
+  FROM c{r} old LEFT JOIN (
+    SELECT a.c, x.d, sum(x.v) AS s, count(*) AS n FROM x JOIN a{r} a USING (n) GROUP BY 1, 2) m
+  ON old.c = m.c AND old.d = m.d)"""
+
+
+_ROUNDS = 10
+CENTROIDS = f"""
+WITH v AS ({_WHOLE} AND len(embedding) = 64),
+x AS MATERIALIZED (SELECT n, unnest(e) AS v, unnest(range(1, 65)) AS d FROM v),
+first AS (SELECT n, row_number() OVER (ORDER BY sha256('3:' || CAST(vec_id AS varchar)), e) - 1 AS c FROM v),
+c0 AS MATERIALIZED (SELECT c, d, v FROM first JOIN x USING (n) WHERE c < 8),
+{", ".join(f"{_nearest(r)}, {_means(r)}" for r in range(_ROUNDS))},
+{_nearest(_ROUNDS)},
+names AS (SELECT c, sha256(string_agg(CAST(v AS varchar), ',' ORDER BY d)) AS centroid_sha256 FROM c{_ROUNDS} GROUP BY 1)
+SELECT vec_id, CAST(c AS integer) AS cluster, CAST(distance AS bigint) AS distance,
+  CAST(sum(distance) OVER (PARTITION BY c) AS bigint) AS cluster_inertia,
+  CAST(sum(distance) OVER () AS bigint) AS inertia, centroid_sha256
+FROM a{_ROUNDS} JOIN v USING (n) JOIN names USING (c)"""
+
 SQL = {
     "op5_spaced_seed_decontamination": SPACED_SEEDS,
     "op9_three_line_windows": THREE_LINE_WINDOWS,
+    "op12_three_phase_threshold": TOP_MATCHES,
+    "op13_dimension_sharded_lloyd": CENTROIDS,
 }

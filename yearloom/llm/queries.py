@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from yearloom.llm import (
+    centroids,
     decontamination,
     fertility,
     jaccard_join,
@@ -14,6 +15,7 @@ from yearloom.llm import (
     oracle,
     packing,
     substring_dedup,
+    topk_search,
     toxicity,
     url_filter,
     warc,
@@ -99,6 +101,16 @@ def op10_minimum_bin_slack(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_three_phase_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten highest inner products of every hundredth vector with all others."""
+    return topk_search.top_matches(_table(spark, sf_dir, "embeddings"))
+
+
+def op13_dimension_sharded_lloyd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector's cluster among eight after ten rounds."""
+    return centroids.clustered(_table(spark, sf_dir, "embeddings"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole corpus pipeline over ``documents``."""
     import corpus_pipeline
@@ -116,6 +128,8 @@ def queries() -> dict[str, Run]:
         "op4_nb_ngram_toxicity": op4_nb_ngram_toxicity,
         "op5_spaced_seed_decontamination": op5_spaced_seed_decontamination,
         "op10_minimum_bin_slack": op10_minimum_bin_slack,
+        "op12_three_phase_threshold": op12_three_phase_threshold,
+        "op13_dimension_sharded_lloyd": op13_dimension_sharded_lloyd,
         "op6_cross_entropy_difference": op6_cross_entropy_difference,
         "op7_size_aware_jaccard": op7_size_aware_jaccard,
         "op8_run_length_index": op8_run_length_index,
