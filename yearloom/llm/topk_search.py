@@ -202,7 +202,7 @@ def top_matches(
     vectors: DataFrame,
     k: int = 10,
     every: int = 100,
-    nodes: int = 4,
+    nodes: int = 2,
     key: str = "vec_id",
     value: str = "embedding",
 ) -> DataFrame:
@@ -214,6 +214,10 @@ def top_matches(
     Of equal scores the smaller key comes first. Queries with fewer than ``k``
     other rows get all of them; an empty table gives no rows.
 
+    More nodes make each node's work less and the cutoff's share a weaker bound:
+    on vectors of 64 components of little structure 1.5 percent of all pairs
+    are left for the third phase with 2 nodes and 16 percent with 4.
+
     Vectors that are null or hold null, NaN or infinite components take no part.
     A vector shorter than another counts as if it went on with zeros. Rows with
     a null key are found by queries, last among equals, and are none themselves.
