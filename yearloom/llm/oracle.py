@@ -105,9 +105,54 @@ SELECT vec_id, CAST(c AS integer) AS cluster, CAST(distance AS bigint) AS distan
   CAST(sum(distance) OVER () AS bigint) AS inertia, centroid_sha256
 FROM a{_ROUNDS} JOIN v USING (n) JOIN names USING (c)"""
 
+COLLOCATIONS = """
+WITH p AS (
+  SELECT row_number() OVER () AS piece, lang, w FROM (
+    SELECT lang, list_filter(string_split_regex(piece, '[ \t]+'), lambda w: w <> '') AS w
+    FROM (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+      translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\n\x0B\f\r]')) AS piece
+      FROM documents WHERE text IS NOT NULL))),
+t AS (SELECT piece, lang, unnest(w) AS w, unnest(range(len(w))) AS pos FROM p),
+g AS MATERIALIZED (
+  SELECT lang, w AS w1, lead(w, 1) OVER own AS w2, lead(w, 2) OVER own AS w3
+  FROM t WINDOW own AS (PARTITION BY piece ORDER BY pos)),
+f1 AS MATERIALIZED (SELECT lang, w1, count(*) AS a FROM g GROUP BY 1, 2),
+f2 AS MATERIALIZED (SELECT lang, w1, w2, count(*) AS a FROM g WHERE w2 IS NOT NULL GROUP BY 1, 2, 3),
+f3 AS MATERIALIZED (
+  SELECT lang, w1, w2, w3, count(*) AS a FROM g WHERE w3 IS NOT NULL GROUP BY 1, 2, 3, 4 HAVING count(*) >= 10),
+cuts AS (
+  SELECT c.lang, c.w1, c.w2, NULL AS w3, 1 AS k, c.a, l.a AS l, r.a AS r
+  FROM f2 c JOIN f1 l ON l.lang = c.lang AND l.w1 = c.w1 JOIN f1 r ON r.lang = c.lang AND r.w1 = c.w2
+  WHERE c.a >= 10
+  UNION ALL
+  SELECT c.*  EXCLUDE (a), 1, c.a, l.a, r.a
+  FROM f3 c JOIN f1 l ON l.lang = c.lang AND l.w1 = c.w1
+  JOIN f2 r ON r.lang = c.lang AND r.w1 = c.w2 AND r.w2 = c.w3
+  UNION ALL
+  SELECT c.*  EXCLUDE (a), 2, c.a, l.a, r.a
+  FROM f3 c JOIN f2 l ON l.lang = c.lang AND l.w1 = c.w1 AND l.w2 = c.w2
+  JOIN f1 r ON r.lang = c.lang AND r.w1 = c.w3),
+scored AS (
+  SELECT *, CAST((CAST(1000000 AS hugeint) * a * a) // (CAST(l AS hugeint) * r) AS bigint) AS score FROM cuts),
+lowest AS (
+  SELECT * FROM (
+    SELECT *, row_number() OVER (PARTITION BY lang, w1, w2, w3 ORDER BY score, k) AS nth FROM scored) WHERE nth = 1),
+held AS (
+  SELECT lang, w1, w2, max(a) AS longer FROM (
+    SELECT lang, w1, w2, a FROM f3 UNION ALL SELECT lang, w2, w3, a FROM f3) GROUP BY 1, 2, 3),
+kept AS (
+  SELECT s.*, concat_ws(' ', s.w1, s.w2, s.w3) AS phrase
+  FROM lowest s LEFT JOIN held h ON s.lang = h.lang AND s.w1 = h.w1 AND s.w2 = h.w2 AND s.w3 IS NULL
+  WHERE h.longer IS NULL OR 100 * h.longer < 50 * s.a),
+totals AS (SELECT lang, CAST(sum(a) AS bigint) AS n FROM f1 GROUP BY 1)
+SELECT lang, rank, phrase, a, l, r, n, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+JOIN totals USING (lang) WHERE rank <= 2000"""
+
 SQL = {
     "op5_spaced_seed_decontamination": SPACED_SEEDS,
     "op9_three_line_windows": THREE_LINE_WINDOWS,
+    "op11_toivonen_phrases": COLLOCATIONS,
     "op12_three_phase_threshold": TOP_MATCHES,
     "op13_dimension_sharded_lloyd": CENTROIDS,
 }

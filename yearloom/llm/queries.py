@@ -14,6 +14,7 @@ from yearloom.llm import (
     lm_scoring,
     oracle,
     packing,
+    phrases,
     substring_dedup,
     topk_search,
     toxicity,
@@ -101,6 +102,11 @@ def op10_minimum_bin_slack(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_toivonen_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 2000 phrases of each language that stick together most."""
+    return phrases.collocations(_table(spark, sf_dir, "documents"))
+
+
 def op12_three_phase_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ten highest inner products of every hundredth vector with all others."""
     return topk_search.top_matches(_table(spark, sf_dir, "embeddings"))
@@ -128,6 +134,7 @@ def queries() -> dict[str, Run]:
         "op4_nb_ngram_toxicity": op4_nb_ngram_toxicity,
         "op5_spaced_seed_decontamination": op5_spaced_seed_decontamination,
         "op10_minimum_bin_slack": op10_minimum_bin_slack,
+        "op11_toivonen_phrases": op11_toivonen_phrases,
         "op12_three_phase_threshold": op12_three_phase_threshold,
         "op13_dimension_sharded_lloyd": op13_dimension_sharded_lloyd,
         "op6_cross_entropy_difference": op6_cross_entropy_difference,
