@@ -20,6 +20,7 @@ Words stand as 64-bit hashes, mixed with the language, until the result.
 """
 
 import re
+import zlib
 from collections.abc import Iterator
 from functools import reduce
 
@@ -47,7 +48,8 @@ _TWO_WORDS = re.compile(rb"[ \t]*[^ \t.,;:!?\n-\r]+(?:[ \t]+[^ \t.,;:!?\n-\r]+)?
 
 #: Bytes of text looked at together, and entries held before they are passed on.
 _CHUNK, _HELD = 1 << 22, 1 << 20
-#: Bits of a set of proposals, and the bytes of text for each range of hashes.
+#: Bits of a set of proposals at most, as a power of two, and the bytes of text
+#: for each range of hashes.
 _BITS, _RANGE = 27, 8 << 20
 #: Kinds of entries beside the phrases of 1 to 3 words: totals, and shared counters.
 _TOTAL, _SHARED = 0, 10
@@ -129,7 +131,7 @@ def _has(bits: bytes | None, keys: np.ndarray) -> np.ndarray:
     if bits is None:
         return np.zeros(len(keys), bool)
     held = np.frombuffer(bits, np.uint64)
-    slot = keys & np.uint64((1 << _BITS) - 1)
+    slot = keys & np.uint64(64 * len(held) - 1)
     return (held[slot >> np.uint64(6)] >> (slot & np.uint64(63))) & np.uint64(1) == 1
 
 
@@ -255,7 +257,8 @@ def _counted(ranges: int, now, before, first: bool):
 
     def scan(batches):
         np.seterr(over="ignore")
-        seeds, held, new, old = {}, _Held(ranges), now.value, before.value
+        seeds, held = {}, _Held(ranges)
+        new, old = ([_unpacked(x) for x in sent.value] for sent in (now, before))
         for texts, langs, end in _chunks(_texts(batches, seeds)):
             found = _Words(texts, langs, seeds)
             w = found.hashes
@@ -331,32 +334,38 @@ def _outside(bits):
     """The words whose bit is not in a broadcast set."""
 
     def kept(batches):
+        held = _unpacked(bits.value[1])
         for batch in batches:
-            inside = _has(bits.value[1], batch.column("w1").to_numpy().view(np.uint64))
+            inside = _has(held, batch.column("w1").to_numpy().view(np.uint64))
             yield batch.filter(pa.array(~inside))
 
     return kept
 
 
-def _bits(keys: DataFrame) -> bytes | None:
-    """The set of the bits of column ``w1``, or None if there are no rows.
+def _unpacked(bits: bytes | None) -> bytes | None:
+    return None if bits is None else zlib.decompress(bits)
+
+
+def _bits(keys: DataFrame, power: int) -> bytes | None:
+    """The packed set of the bits of column ``w1``, or None if there are no rows.
 
-    One row for each 64 bits, of which there are 2**21 at most.
+    One row for each 64 bits that are not all empty, 2**21 at most.
     """
-    slot = F.col("w1").bitwiseAND((1 << _BITS) - 1)
+    slot = F.col("w1").bitwiseAND(F.lit((1 << power) - 1))
     mask = F.expr("shiftleft(1L, CAST(w1 & 63 AS int))")
     rows = keys.groupBy(F.shiftrightunsigned(slot, 6).alias("at")).agg(F.bit_or(mask).alias("mask")).toArrow()
     if not rows.num_rows:
         return None
-    made = np.zeros(1 << (_BITS - 6), np.uint64)
+    made = np.zeros(1 << (power - 6), np.uint64)
     made[rows["at"].to_numpy()] = rows["mask"].to_numpy().view(np.uint64)
-    return made.tobytes()
+    return zlib.compress(made.tobytes(), 1)
 
 
 def _either(one: bytes | None, other: bytes | None) -> bytes | None:
     if one is None or other is None:
         return one if other is None else other
-    return (np.frombuffer(one, np.uint64) | np.frombuffer(other, np.uint64)).tobytes()
+    both = (np.frombuffer(zlib.decompress(x), np.uint64) for x in (one, other))
+    return zlib.compress(np.bitwise_or(*both).tobytes(), 1)
 
 
 def frequent_phrases(texts: DataFrame, least: int, sample: float, lowered: float, path: str) -> DataFrame:
@@ -368,7 +377,7 @@ def frequent_phrases(texts: DataFrame, least: int, sample: float, lowered: float
     spark = texts.sparkSession
     context = spark.sparkContext
     size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    ranges = max(16, size // _RANGE)
+    ranges, power = max(16, size // _RANGE), min(_BITS, max(16, size.bit_length()))
 
     def added(texts: DataFrame, scan, least: int, what: str) -> DataFrame:
         entries = texts.mapInArrow(scan, _ENTRIES)
@@ -378,18 +387,20 @@ def frequent_phrases(texts: DataFrame, least: int, sample: float, lowered: float
     chosen = texts.filter(F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < int(sample * (1 << 20)))
     likely = max(1, int(least * sample * lowered))
     proposed = added(chosen, _sampled(ranges), likely, "sample")
-    now = [None, *(_bits(proposed.filter(F.col("kind") == _SHARED + k)) for k in (1, 2, 3))]
+    now = [None, *(_bits(proposed.filter(F.col("kind") == _SHARED + k), power) for k in (1, 2, 3))]
     before, passes = [None] * 4, []
     while True:
+        # None of the sets is longer than 2**27 bits, packed or not.
         sent, told = context.broadcast(now), context.broadcast(before)
         scan = _counted(ranges, sent, told, first=not passes)
         passes.append(added(texts, scan, least, f"pass{len(passes)}"))
-        failed = [None, None, *(_bits(passes[-1].filter(F.col("kind") == _SHARED + k)) for k in (2, 3))]
+        border = {k: passes[-1].filter(F.col("kind") == _SHARED + k) for k in (2, 3)}
+        failed = [None, None, _bits(border[2], power), _bits(border[3], power)]
         if len(passes) == 1:
             words = passes[0].filter("kind = 1")
-            failed[1] = _bits(words.mapInArrow(_outside(sent), words.schema))
-        sent.unpersist()
-        told.unpersist()
+            failed[1] = _bits(words.mapInArrow(_outside(sent), words.schema), power)
+        sent.destroy()
+        told.destroy()
         if not any(failed):
             break
         before, now = now, [_either(a, b) for a, b in zip(now, failed)]
