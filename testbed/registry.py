@@ -346,6 +346,27 @@ def _(spark, sf_dir):
     return op.fill_flagged(v.gapped_records(spark, sf_dir), is_leap_year(F.col("Year")))
 
 
+@_register("leap_year_fill_bucketed", _sql(_fill("customer_emissions", "Year, Country")))
+def _(spark, sf_dir):
+    rows = customer_emissions(spark, sf_dir)
+    return op.leap_year_fill(rows, entities=None, unique=True, bucket=2)
+
+
+@_register(
+    "daily_fill",
+    _sql("""SELECT Day, Place, CASE WHEN Day % 7 IN (2, 3) THEN coalesce(
+    last_value(Total IGNORE NULLS) OVER (ORDER BY Day RANGE BETWEEN 1 PRECEDING AND 1 PRECEDING),
+    first_value(Total IGNORE NULLS) OVER (ORDER BY Day RANGE BETWEEN 1 FOLLOWING AND 2 FOLLOWING))
+  ELSE Total END AS Total FROM daily_totals"""),
+)
+def _(spark, sf_dir):
+    # One key with as many order values as there are days.
+    return op.fill_flagged(
+        v.daily_totals(spark, sf_dir), (F.col("Day") % 7).isin(2, 3), "Place", "Day", "Total",
+        back=1, ahead=2, unique=True, bucket=60,
+    )
+
+
 # Series and rankings.
 
 

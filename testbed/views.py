@@ -115,6 +115,16 @@ def customer_emissions_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def daily_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The orders' total of each day, all under one key; ``Day`` counts from 1970."""
+    return (
+        table(spark, sf_dir, "orders")
+        .groupBy(F.datediff(F.col("o_orderdate").cast("date"), F.lit("1970-01-01").cast("date")).alias("Day"))
+        .agg(_exact_sum("o_totalprice").alias("Total"))
+        .select("Day", F.lit("everywhere").alias("Place"), "Total")
+    )
+
+
 def gapped_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The records without some years of five nations, for fills."""
     return emission_records(spark, sf_dir, gaps=True)
@@ -314,6 +324,10 @@ SELECT CAST(year(o_orderdate) AS integer) AS Year, c_name AS Entity, {_SQL_SUM}
 FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1, 2""",
     "emission_records": _sql_records("true"),
     "gapped_records": _sql_records(_SQL_NO_GAP),
+    "daily_totals": f"""
+SELECT CAST(datediff('day', DATE '1970-01-01', CAST(o_orderdate AS date)) AS integer) AS Day,
+  'everywhere' AS Place, {_SQL_SUM} AS Total
+FROM orders GROUP BY 1""",
     "dirty_readings": f"""
 SELECT {_sql_dirty(_sql_name('s_nationkey'), f's_nationkey = {JUNK_NATION}')}
 FROM lineitem JOIN supplier ON l_suppkey = s_suppkey""",

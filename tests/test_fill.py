@@ -104,6 +104,23 @@ def test_against_a_plain_loop(spark, repeats, back, ahead):
     if repeats == 1:
         single = op.fill_flagged(df, flag, back=back, ahead=ahead, unique=True)
         assert_rows(single, OUT, *expected)
+    # Buckets shorter and longer than what a row looks at, and than all years.
+    for bucket in (1, 2.5, 7, 500):
+        cut = op.fill_flagged(df, flag, back=back, ahead=ahead, unique=repeats == 1, bucket=bucket)
+        assert_rows(cut, OUT, *expected)
+
+
+def test_buckets_of_real_and_negative_order_values(spark):
+    schema = "At double, Place string, V double"
+    rows = [(-2.5, "a", 1.0), (-1.5, "a", 2.0), (0.25, "a", 3.0), (1.75, "a", 4.0), (None, "a", 5.0), (0.0, None, 6.0)]
+    df = frame(spark, schema, *rows)
+    flag = (F.col("V") % 2 == 0) | F.col("At").isNull()
+    whole = op.fill_flagged(df, flag, "Place", "At", "V", 2, 2, unique=True)
+    for unique in (True, False):
+        cut = op.fill_flagged(df, flag, "Place", "At", "V", 2, 2, unique=unique, bucket=1)
+        assert_rows(cut, schema, *[tuple(r) for r in whole.collect()])
+    with pytest.raises(ValueError, match="bucket"):
+        op.fill_flagged(df, flag, "Place", "At", "V", unique=True, bucket=0)
 
 
 def test_other_columns_stay(spark):

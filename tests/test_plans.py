@@ -65,6 +65,26 @@ def test_unique_fill_needs_one_shuffle_and_one_window(emissions):
     assert schema == "struct<Year:int,Entity:string,Annual_CO2_emissions:double>"
 
 
+def test_bucketed_fill_spreads_a_key_with_many_order_values(spark):
+    seconds = spark.range(0, 60_000, numPartitions=8).select(
+        F.col("id").alias("Second"), F.lit("one place").alias("Place"), F.col("id").cast("double").alias("V")
+    )
+    flag = F.col("Second") % 10 == 0
+
+    def tasks(bucket):
+        filled = op.fill_flagged(seconds, flag, "Place", "Second", "V", unique=True, bucket=bucket)
+        plan = plan_of(filled)
+        assert count_nodes(plan, "Exchange") == 1 and count_nodes(plan, "Window") == 1
+        with settings(spark, spark_sql_adaptive_enabled="false"):
+            by_task = filled.groupBy(F.spark_partition_id())
+            counts = by_task.agg(F.count("*").alias("n"), F.sum("V")).collect()
+        return sorted(r["n"] for r in counts)
+
+    assert len(tasks(None)) == 1
+    spread = tasks(1000)
+    assert len(spread) == 8 and sum(spread) == 60_000 and spread[-1] < 20_000
+
+
 def test_fill_reduces_rows_before_its_window(spark):
     rows = spark.range(0, 100_000, numPartitions=8).select(
         (1990 + F.col("id") % 20).cast("int").alias("Year"),
