@@ -7,6 +7,7 @@ from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from testbed import views as v
 from yearloom import operators as op
@@ -622,6 +623,57 @@ def _(spark, sf_dir):
     return _with_date_text(sources.read_csv(spark, path, readings.schema))
 
 
+# Every 97th record has a year that is none, and every 101st no readable total.
+_BAD_CSV = """SELECT o_orderkey AS Record,
+  CASE WHEN o_orderkey % 97 = 0 THEN 'unknown' ELSE CAST(year(o_orderdate) AS varchar) END AS Year,
+  CASE WHEN o_orderkey % 101 = 0 THEN '12,5' ELSE CAST(CAST(floor(o_totalprice) AS bigint) AS varchar) END AS Total
+FROM orders"""
+_CSV_SCHEMA = "Record bigint, Year int, Total bigint"
+_BAD = "o_orderkey % 97 = 0 OR o_orderkey % 101 = 0"
+
+
+def _half_good_csv(spark, sf_dir) -> DataFrame:
+    key = F.col("o_orderkey")
+    records = v.table(spark, sf_dir, "orders").select(
+        key.alias("Record"),
+        F.when(key % 97 == 0, "unknown").otherwise(F.year("o_orderdate").cast("string")).alias("Year"),
+        F.when(key % 101 == 0, "12,5")
+        .otherwise(F.floor("o_totalprice").cast("string"))
+        .alias("Total"),
+    )
+    path = _write_csv(records, scratch_dir(spark, "half-good"))
+    return sources.read_csv_checked(spark, path, StructType.fromDDL(_CSV_SCHEMA))
+
+
+@_register(
+    "csv_good_rows",
+    f"""SELECT Record, CAST(Year AS integer) AS Year, CAST(Total AS bigint) AS Total
+FROM ({_BAD_CSV} WHERE NOT ({_BAD}))""",
+)
+def _(spark, sf_dir):
+    return sources.good_rows(_half_good_csv(spark, sf_dir))
+
+
+@_register(
+    "csv_bad_records",
+    f"""SELECT concat_ws(',', CAST(Record AS varchar), Year,
+    CASE WHEN Total = '12,5' THEN '"12,5"' ELSE Total END) AS record,
+  CAST(1 + (Year <> 'unknown')::integer + (Total <> '12,5')::integer AS integer) AS fields_read
+FROM ({_BAD_CSV} WHERE {_BAD})""",
+)
+def _(spark, sf_dir):
+    return sources.bad_records(_half_good_csv(spark, sf_dir)).drop("file")
+
+
+@_register(
+    "csv_bad_records_counted",
+    f"SELECT CAST(count(*) AS bigint) AS bad_records FROM orders WHERE {_BAD}",
+)
+def _(spark, sf_dir):
+    by_file = sources.bad_records_by_file(sources.bad_records(_half_good_csv(spark, sf_dir)))
+    return by_file.agg(F.sum("bad_records").alias("bad_records"))
+
+
 @_register("parquet_roundtrip", _sql("SELECT * FROM customer_emissions"))
 def _(spark, sf_dir):
     path = scratch_dir(spark, "parquet")
@@ -746,6 +798,22 @@ def _(spark, sf_dir):
     return written.agg(F.count("*").alias("records")).filter(F.col("records") == rows)
 
 
+@_register(
+    "observed_output",
+    _sql(f"""SELECT count(*) AS readings, count(*) - count(Year) AS no_year,
+  count(*) - count(Country) AS no_country, count(*) - count(x) AS no_temperature
+FROM (SELECT {_YEAR} AS Year, Country, TRY_CAST({_CLEAN} AS float) AS x FROM dirty_readings )"""),
+)
+def _(spark, sf_dir):
+    # What the writing job saw of its rows; the dataset is not read again.
+    path = scratch_dir(spark, "observed")
+    readings = op.clean_readings(v.dirty_readings(spark, sf_dir))
+    seen = sinks.write_checked(readings, path, readings.schema)
+    counts = [seen.rows, *(seen.nulls[c] for c in ("Year", "Country", "AverageTemperature"))]
+    names = ("readings", "no_year", "no_country", "no_temperature")
+    return spark.range(1).select(*[F.lit(n).cast("long").alias(c) for n, c in zip(counts, names)])
+
+
 # The whole run: CSV files with awkward names in, four managed tables out.
 
 

@@ -1,5 +1,6 @@
 """Readers, writers, tables, checks and the whole run."""
 
+import json
 from pathlib import Path
 
 import pytest
@@ -94,6 +95,139 @@ def test_csv(spark, tmp_path):
         sources.read_csv(spark, str(path), swapped).collect()
 
 
+HALF_GOOD = """\
+Name,Some Value,When
+x,1.5,2001-02-03
+short,2.5
+long,3.5,2001-02-03,more
+wrong,abc,2001-02-03
+,,
+"no, date",4.5,someday
+"""
+
+
+def test_bad_records_are_told_from_good_rows(spark, tmp_path):
+    for name, text in (("a.csv", HALF_GOOD), ("b.csv", "Name,Some Value,When\ny,1,2001-02-03\n")):
+        (tmp_path / name).write_text(text, encoding="utf-8")
+    schema = StructType.fromDDL("Name string, `Some Value` double, When date")
+    checked = sources.read_csv_checked(spark, str(tmp_path), schema)
+    good = sources.good_rows(checked)
+    assert good.schema == schema
+    assert {(r.Name, r["Some Value"]) for r in good.collect()} == {("x", 1.5), (None, None), ("y", 1.0)}
+    # Few columns in use or all: the same rows are good.
+    assert good.select("Name").count() == good.count() == 3
+    bad = sources.bad_records(checked)
+    assert {(r.record, r.fields_read) for r in bad.collect()} == {
+        ("short,2.5", 2),
+        ("long,3.5,2001-02-03,more", 3),
+        ("wrong,abc,2001-02-03", 2),
+        ('"no, date",4.5,someday', 2),
+    }
+    [row] = sources.bad_records_by_file(bad).collect()
+    assert row.file.endswith("/a.csv") and row.bad_records == 4
+    swapped = StructType.fromDDL("`Some Value` double, Name string, When date")
+    with pytest.raises(Exception, match="(?i)header"):
+        sources.read_csv_checked(spark, str(tmp_path), swapped).collect()
+
+
+def test_ingestion_keeps_bad_records_apart(spark, tmp_path):
+    (tmp_path / "in.csv").write_text(HALF_GOOD, encoding="utf-8")
+    schema = StructType.fromDDL("Name string, `Some Value` double, When date")
+    target, aside = str(tmp_path / "target"), str(tmp_path / "aside")
+    ingest = lambda **how: plans.run_ingestion(
+        spark, {"d": str(tmp_path / "in.csv")}, target, {"d": schema}, quarantine=aside, **how
+    )
+    with pytest.raises(plans.IngestionRefused, match="4 bad records, at most 3"):
+        ingest(most_bad=3)
+    assert not Path(target, "d").exists() and spark.read.parquet(f"{aside}/d").count() == 4
+    ingest(most_bad=4)
+    assert spark.read.parquet(f"{target}/d").columns == ["Name", "Some_Value", "When"]
+    assert spark.read.parquet(f"{target}/d").count() == 2
+    # Without a schema all of it fits, as text.
+    plans.run_ingestion(spark, {"e": str(tmp_path / "in.csv")}, target, quarantine=aside)
+    assert spark.read.parquet(f"{aside}/e").count() == 2
+
+
+def test_commit_markers(spark, emissions, tmp_path):
+    def directory(name, parts, **markers):
+        path = tmp_path / name
+        path.mkdir()
+        for part in [*parts, "_SUCCESS"]:
+            (path / part).touch()
+        for number, said in markers.items():
+            (path / f"_committed_{number[1:]}").write_text(said if isinstance(said, str) else json.dumps(said))
+        return sources.is_complete(spark, str(path))
+
+    added = lambda *parts, removed=(): {"added": list(parts), "removed": list(removed)}
+    a, b = "part-0.snappy.parquet", "part-1.snappy.parquet"
+    assert directory("no-marker", [a])
+    assert directory("all", [a, b], n1=added(a, b))
+    assert not directory("missing", [a], n1=added(a, b))
+    assert directory("removed", [b], n1=added(a), n2=added(b, removed=[a]))
+    assert not directory("new-missing", [a], n1=added(a), n2=added(b, removed=[a]))
+    assert not directory("all-removed", [a], n1=added(a), n2=added(removed=[a]))
+    assert not directory("unreadable", [a], n1="{")
+    assert not directory("other-form", [a], n1="[]")
+    assert directory("other-name", [a], vacuum="{")
+    (tmp_path / "all" / "_SUCCESS").unlink()
+    assert not sources.is_complete(spark, str(tmp_path / "all"))
+    # Of a partitioned dataset, the markers lie in its folders.
+    inside = tmp_path / "parts" / "Year=2000"
+    inside.mkdir(parents=True)
+    (tmp_path / "parts" / "_SUCCESS").touch()
+    (inside / "_committed_7").write_text(json.dumps(added(a)))
+    assert not sources.is_complete(spark, str(tmp_path / "parts"))
+    (inside / a).touch()
+    assert sources.is_complete(spark, str(tmp_path / "parts"))
+
+
+def jobs_of(spark, run):
+    """How many jobs ``run`` starts."""
+    group = f"jobs-{id(run)}"
+    spark.sparkContext.setJobGroup(group, "counted")
+    try:
+        run()
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+
+
+def test_write_checked(spark, emissions, tmp_path):
+    path, schema = str(tmp_path / "out"), emissions.schema
+    seen = sinks.write_checked(emissions, path, schema, ["Year"], count=3, unique=["Year", "Country"])
+    assert (seen.rows, seen.nulls["Year"]) == (3, 0)
+    assert rows(spark.read.parquet(path)) == rows(emissions)
+    one = sinks.write_checked(emissions, path, schema, ["Year"], single_file=True)
+    assert one.rows == 3 and len(data_files(tmp_path / "out")) == 1
+    holes = emissions.withColumn("Country", F.when(F.col("Year") == 2001, F.col("Country")))
+    assert sinks.write_checked(holes, path, schema).nulls["Country"] == 2
+    # All faults at once, and the same as of a dataset that is read again.
+    wrong = StructType([*schema.fields[:-1], StructField("Other", FloatType())])
+    with pytest.raises(sinks.ContractBroken) as fault:
+        sinks.write_checked(holes, path, wrong, count=4, required=["Country"])
+    with pytest.raises(sinks.ContractBroken) as read_again:
+        sinks.check_output(spark, path, wrong, 4)
+    assert str(read_again.value) in str(fault.value) and "2 NULLs in Country" in str(fault.value)
+    copies = spark.range(1000).select((F.col("id") % 500).alias("Key"))
+    with pytest.raises(sinks.ContractBroken, match="different"):
+        sinks.write_checked(copies, path, copies.schema, unique=["Key"])
+    many = spark.range(5000).select(F.col("id").alias("Key"), F.lit(None).cast("int").alias("a.b"))
+    assert sinks.write_checked(many, path, many.schema, unique=["Key"]).nulls["a.b"] == 5000
+    nothing = emissions.filter("Year < 0")
+    assert sinks.write_checked(nothing, path, schema, count=0).rows == 0
+
+
+def test_write_checked_takes_one_job(spark, emissions, tmp_path):
+    path, schema = str(tmp_path / "out"), emissions.schema
+
+    def twice():
+        sinks.write_parquet(emissions, path)
+        sinks.check_output(spark, path, schema)
+
+    once = jobs_of(spark, lambda: sinks.write_checked(emissions, path, schema))
+    assert once < jobs_of(spark, twice)
+
+
 CONTINENT_CSV = """\
 Continent_Name,Continent_Code,Country_Name,Two_Letter_Country_Code,Three_Letter_Country_Code,Country_Number
 Asia,AS,"Afghanistan, Islamic Republic of",AF,AFG,4

@@ -29,7 +29,7 @@ from yearloom.operators import (
     yearly_total,
 )
 from yearloom.scratch import remove, scratch_dir, settled
-from yearloom.sinks import check_output, write_parquet, write_tables
+from yearloom.sinks import ContractBroken, write_checked, write_tables
 from yearloom.sources import read_parquet, resolve_source
 
 INGESTED = (EMISSIONS_DATASET, GLOBAL_TEMPERATURES_DATASET, TEMPERATURES_DATASET)
@@ -83,20 +83,22 @@ def run_transformation(
     try:
         temperatures = settled(country_temperatures(country_readings), "temperatures", scratch)
         panels = published_panels(emissions, global_readings, temperatures)
+        written, broken, counts = {}, [], counts or {}
         for name, panel in panels.items():
             keys = [c for c in ("Year", "Country") if c in panel.columns]
-            write_parquet(panel, f"{target}/{name}", keys, single_file)
+            try:
+                written[name] = write_checked(
+                    panel, f"{target}/{name}", OUTPUT_SCHEMAS[name], keys, single_file, counts.get(name)
+                ).rows
+            except ContractBroken as fault:
+                broken.append(str(fault))
     finally:
         if persist:
             emissions.unpersist()
         remove(spark, scratch)
-    counts = counts or {}
-    return {
-        name: check_output(
-            spark, f"{target}/{name}", OUTPUT_SCHEMAS[name], counts.get(name), single_file
-        )
-        for name in panels
-    }
+    if broken:
+        raise ContractBroken("; ".join(broken))
+    return written
 
 
 def publish_tables(

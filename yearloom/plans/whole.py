@@ -27,18 +27,21 @@ def run_pipeline(
     discard: Iterable[str] = NOT_A_COUNTRY,
     counts: Mapping[str, int] | None = None,
     continents_csv: str | None = None,
+    quarantine: str | None = None,
+    most_bad: int | None = None,
 ) -> dict[str, int]:
     """Ingest the CSV files, then build, check and, for a ``user``, publish the panels.
 
     ``fallback``, ``discard`` and ``counts`` are those of the transformation.
     With ``continents_csv`` the country panel is also written with continents,
-    as ``ENRICHED_DATASET`` beside the panels.
+    as ``ENRICHED_DATASET`` beside the panels. ``quarantine`` and ``most_bad``
+    are those of the ingestion.
 
     Ingested datasets go under ``workdir/dataIngestion`` and panels under
     ``workdir/dataTransformation``. Returns the row count of each panel.
     """
     ingested, target = f"{workdir}/dataIngestion", f"{workdir}/dataTransformation"
-    run_ingestion(spark, csv_paths, ingested, schemas, single_file)
+    run_ingestion(spark, csv_paths, ingested, schemas, single_file, quarantine, most_bad)
     written = run_transformation(
         spark, ingested, target, fallback, discard, persist, single_file, counts
     )
