@@ -47,10 +47,10 @@ _GAP_BYTE = re.compile(rb"[ \t.,;:!?\n-\r]")
 _TWO_WORDS = re.compile(rb"[ \t]*[^ \t.,;:!?\n-\r]+(?:[ \t]+[^ \t.,;:!?\n-\r]+)?")
 
 #: Bytes of text looked at together, and entries held before they are passed on.
-_CHUNK, _HELD = 1 << 22, 1 << 20
+_CHUNK, _HELD = 1 << 21, 1 << 19
 #: Bits of a set of proposals at most, as a power of two, and the bytes of text
 #: for each range of hashes.
-_BITS, _RANGE = 27, 8 << 20
+_BITS, _RANGE = 27, 4 << 20
 #: Kinds of entries beside the phrases of 1 to 3 words: totals, and shared counters.
 _TOTAL, _SHARED = 0, 10
 
@@ -176,8 +176,8 @@ class _Held:
         self.size = sum(len(n) for held in self.phrases.values() for _, n in held)
         return self.size > _HELD
 
-    def passed_on(self) -> Iterator[pa.RecordBatch]:
-        """All entries in packets for each range of hashes."""
+    def passed_on(self, last: bool = False) -> Iterator[pa.RecordBatch]:
+        """The phrases in packets for each range of hashes; of words, many or the last ones."""
         made = []
         for kind in self.phrases:
             rows, n = self._merged(kind)
@@ -192,19 +192,24 @@ class _Held:
                 body = np.ascontiguousarray(rows[:, 1:])
             for a, z in zip(edges, edges[1:]):
                 made.append((int(r[a]), kind, body[a:z].tobytes(), n[a:z].tobytes(), None, None))
-        ranges = int(self.ranges)
-        for key, (lang, word, n) in self.words.items():
-            n = np.int64(n).tobytes()
-            made.append(((key >> 32) % ranges, 1, np.uint64(key).tobytes(), n, lang, word))
-        for lang, n in self.totals.items():
-            made.append((hash_of(lang) % ranges, _TOTAL, b"", np.int64(n).tobytes(), lang, None))
-        self.__init__(ranges)
+        self.phrases, self.size = {}, 0
+        if last or len(self.words) > _HELD:
+            made += self._words_and_totals()
+            self.words, self.totals = {}, {}
         for i in range(0, len(made), 4096):
             columns = zip(*made[i : i + 4096])
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, f.type) for c, f in zip(columns, _ENTRIES_ARROW)], schema=_ENTRIES_ARROW
             )
 
+    def _words_and_totals(self) -> Iterator[tuple]:
+        ranges = int(self.ranges)
+        for key, (lang, word, n) in self.words.items():
+            own = key.to_bytes(8, "little")
+            yield (key >> 32) % ranges, 1, own, n.to_bytes(8, "little"), lang, word
+        for lang, n in self.totals.items():
+            yield hash_of(lang) % ranges, _TOTAL, b"", n.to_bytes(8, "little"), lang, None
+
 
 def hash_of(text: str) -> int:
     """A 64-bit hash of a short text that is the same in every process."""
@@ -244,7 +249,7 @@ def _sampled(ranges: int):
             held.add(_SHARED + 3, [], own)
             if held.full():
                 yield from held.passed_on()
-        yield from held.passed_on()
+        yield from held.passed_on(last=True)
 
     return scan
 
@@ -283,7 +288,7 @@ def _counted(ranges: int, now, before, first: bool):
                 held.add(_SHARED + size, [], border)
             if held.full():
                 yield from held.passed_on()
-        yield from held.passed_on()
+        yield from held.passed_on(last=True)
 
     return scan
 
