@@ -144,16 +144,17 @@ class _Held:
         self.words: dict[int, list] = {}
         self.totals: dict[str, int] = {}
 
-    def add_words(self, found: _Words, core: int, langs: list[str]) -> None:
-        hashes = found.hashes[:core]
-        keys, first, n = np.unique(hashes, return_index=True, return_counts=True)
-        for key, i, count in zip(keys.tolist(), first.tolist(), n.tolist()):
+    def add_totals(self, found: _Words, core: int, langs: list[str]) -> None:
+        for i, count in enumerate(np.bincount(found.text[:core], minlength=len(langs)).tolist()):
+            self.totals[langs[i]] = self.totals.get(langs[i], 0) + count
+
+    def add_words(self, found: _Words, places: np.ndarray, langs: list[str]) -> None:
+        keys, first, n = np.unique(found.hashes[places], return_index=True, return_counts=True)
+        for key, i, count in zip(keys.tolist(), places[first].tolist(), n.tolist()):
             if key in self.words:
                 self.words[key][2] += count
             else:
                 self.words[key] = [langs[found.text[i]], found.word(i), count]
-        for i, count in enumerate(np.bincount(found.text[:core], minlength=len(langs)).tolist()):
-            self.totals[langs[i]] = self.totals.get(langs[i], 0) + count
 
     def add(self, kind: int, columns: list[np.ndarray], key: np.ndarray) -> None:
         """Phrases by the hashes of their words, or by nothing but their own."""
@@ -268,8 +269,11 @@ def _counted(ranges: int, now, before, first: bool):
             found = _Words(texts, langs, seeds)
             w = found.hashes
             core = int(np.searchsorted(found.starts, end))
+            known, knew = _has(new[1], w[:core]), _has(old[1], w[:core])
+            held.add_words(found, np.flatnonzero(known & ~knew), langs)
             if first:
-                held.add_words(found, core, langs)
+                held.add_totals(found, core, langs)
+                held.add(_SHARED + 1, [], w[:core][~known])
             pairs = _joined(w[:-1], w[1:])
             threes = _joined(pairs[:-1], w[2:])
             together = found.piece[1:] == found.piece[:-1]
@@ -335,18 +339,6 @@ def _strings(own: pa.Table, kind: int, least: int) -> pa.Table:
     return pa.table([pa.array(c, f.type) for c, f in zip(columns, _COUNTS_ARROW)], schema=_COUNTS_ARROW)
 
 
-def _outside(bits):
-    """The words whose bit is not in a broadcast set."""
-
-    def kept(batches):
-        held = _unpacked(bits.value[1])
-        for batch in batches:
-            inside = _has(held, batch.column("w1").to_numpy().view(np.uint64))
-            yield batch.filter(pa.array(~inside))
-
-    return kept
-
-
 def _unpacked(bits: bytes | None) -> bytes | None:
     return None if bits is None else zlib.decompress(bits)
 
@@ -399,11 +391,7 @@ def frequent_phrases(texts: DataFrame, least: int, sample: float, lowered: float
         sent, told = context.broadcast(now), context.broadcast(before)
         scan = _counted(ranges, sent, told, first=not passes)
         passes.append(added(texts, scan, least, f"pass{len(passes)}"))
-        border = {k: passes[-1].filter(F.col("kind") == _SHARED + k) for k in (2, 3)}
-        failed = [None, None, _bits(border[2], power), _bits(border[3], power)]
-        if len(passes) == 1:
-            words = passes[0].filter("kind = 1")
-            failed[1] = _bits(words.mapInArrow(_outside(sent), words.schema), power)
+        failed = [None, *(_bits(passes[-1].filter(F.col("kind") == _SHARED + k), power) for k in (1, 2, 3))]
         sent.destroy()
         told.destroy()
         if not any(failed):
