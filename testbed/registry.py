@@ -172,6 +172,12 @@ def _sql(select: str) -> str:
     return ("WITH " + ",\n".join(parts) + "\n" if parts else "") + select
 
 
+# Sums of decimal notations, each of which both engines read in the same way.
+_DECIMAL = "CAST(CAST(CAST({0} AS double) AS varchar) AS decimal(38,18))"
+_EXACT_SUM = f"CAST(CAST(sum({_DECIMAL}) AS varchar) AS double)"
+_EXACT_AVG = _EXACT_SUM + " / count({0})"
+
+
 def _rounded(df: DataFrame) -> DataFrame:
     return df.select(
         "Country",
@@ -423,6 +429,86 @@ def _(spark, sf_dir):
     return _rounded(averages(spark, sf_dir))
 
 
+@_register(
+    "avg_by_country_exact",
+    _sql(f"""SELECT Country, {_EXACT_AVG.format('AverageTemperature')} AS AverageTemperatureByCountry,
+  {_EXACT_AVG.format('TotalEmissions')} AS TotalEmissionsByCountry
+FROM countries WHERE Year > {AFTER} GROUP BY 1"""),
+)
+def _(spark, sf_dir):
+    panel = country_panel(spark, sf_dir, op.countries_only(AFTER))
+    return op.country_averages(panel, exact=True)
+
+
+@_register(
+    "global_panel_exact",
+    _sql(f"""SELECT * FROM (
+  SELECT Year, CAST({_EXACT_SUM.format('TotalEmissions')} AS float) AS TotalEmissions FROM emissions GROUP BY 1)
+JOIN (SELECT CAST(year(Date) AS integer) AS Year,
+  CAST({_EXACT_AVG.format('LandAverageTemperature')} AS float) AS LandAverageTemperature,
+  CAST(max(LandMaxTemperature) AS float) AS LandMaxTemperature,
+  CAST(min(LandMinTemperature) AS float) AS LandMinTemperature,
+  CAST({_EXACT_AVG.format('LandAndOceanAverageTemperature')} AS float) AS LandAndOceanAverageTemperature
+FROM global_readings GROUP BY 1) USING (Year)"""),
+)
+def _(spark, sf_dir):
+    return op.global_panel(
+        op.yearly_total(emissions(spark, sf_dir), exact=True),
+        op.yearly_temperatures(v.global_readings(spark, sf_dir), exact=True),
+    )
+
+
+# Names that are spelt differently on both sides.
+
+_OTHER = "CAST(replace(Country, 'Customer#', '') AS bigint) % {0} = {1}"
+_MARKED = f"""SELECT * REPLACE (CASE WHEN {_OTHER.format(10, 3)} THEN concat('Nowhere ', Country)
+  WHEN {_OTHER.format(10, 4)} THEN concat('The Land of ', replace(Country, 'Customer#', ''))
+  ELSE replace(Country, 'Customer#', 'Cüstomér-') END AS Country) FROM customer_emissions"""
+_LOUD = f"""SELECT * REPLACE (CASE WHEN {_OTHER.format(10, 5)} THEN concat('Elsewhere ', Country)
+  ELSE replace(Country, 'Customer#', 'CUSTOMER  ') END AS Country) FROM customer_temperatures"""
+_KEY = "trim(regexp_replace(strip_accents(lower(Country)), '[\\s\\-_.''’]+', ' ', 'g'))"
+
+
+def _respelt(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    country = F.col("Country")
+    number = F.replace(country, F.lit("Customer#"), F.lit("")).cast("long")
+    plain = F.replace(country, F.lit("Customer#"), F.lit(""))
+    marked = (
+        F.when(number % 10 == 3, F.concat(F.lit("Nowhere "), country))
+        .when(number % 10 == 4, F.concat(F.lit("The Land of "), plain))
+        .otherwise(F.replace(country, F.lit("Customer#"), F.lit("Cüstomér-")))
+    )
+    loud = F.when(number % 10 == 5, F.concat(F.lit("Elsewhere "), country)).otherwise(
+        F.replace(country, F.lit("Customer#"), F.lit("CUSTOMER  "))
+    )
+    return (
+        customer_emissions(spark, sf_dir).withColumn("Country", marked),
+        customer_temperatures(spark, sf_dir).withColumn("Country", loud),
+    )
+
+
+@_register(
+    "reconciled_panel",
+    _sql(f"""SELECT e.Year, e.Country, TotalEmissions, PerCapitaEmissions, ShareOfGlobalEmissions, AverageTemperature
+FROM (SELECT *, {_KEY} AS k FROM ({_MARKED} ) ) e JOIN (SELECT *, {_KEY} AS k FROM ({_LOUD} ) ) t
+ON e.Year = t.Year AND (e.k = t.k OR (e.k = 'the land of 000000004' AND t.k = 'customer 000000004'))"""),
+)
+def _(spark, sf_dir):
+    aliases = {"The Land-of 000000004": "Customer 000000004"}
+    return op.reconciled_panel(*_respelt(spark, sf_dir), aliases)
+
+
+@_register(
+    "unmatched_names",
+    _sql(f"""SELECT 'emissions' AS side, Country, {_KEY} AS match_key, count(*) AS rows FROM ({_MARKED} )
+WHERE {_KEY} NOT IN (SELECT {_KEY} FROM ({_LOUD} ) ) GROUP BY Country
+UNION ALL SELECT 'temperatures', Country, {_KEY}, count(*) FROM ({_LOUD} )
+WHERE {_KEY} NOT IN (SELECT {_KEY} FROM ({_MARKED} ) ) GROUP BY Country"""),
+)
+def _(spark, sf_dir):
+    return op.unmatched_names(*_respelt(spark, sf_dir))
+
+
 def _top(measure: str, k: int) -> str:
     return _sql(
         f"SELECT {_ROUNDED} FROM"
@@ -744,6 +830,54 @@ def _(spark, sf_dir):
     return _published(spark, rows.select("Year", "Country"), rows)
 
 
+@_register(
+    "bucketed_panel",
+    _sql("SELECT * FROM customer_emissions JOIN customer_temperatures USING (Year, Country)"),
+)
+def _(spark, sf_dir):
+    # Both tables lie in buckets by the keys, so their join moves no rows.
+    database = f"yearloom_testbed_{uuid4().hex}"
+    sinks.create_database(spark, database, scratch_dir(spark, "warehouse"))
+    try:
+        sides = {"e": customer_emissions(spark, sf_dir), "t": customer_temperatures(spark, sf_dir)}
+        for name, rows in sides.items():
+            sinks.write_table(
+                rows, name, database=database, bucket_by=["Year", "Country"], buckets=8
+            )
+        e, t = (spark.table(f"{database}.{name}") for name in sides)
+        return settled(op.country_panel(e, t, colocated=True), "bucketed")
+    finally:
+        sinks.drop_database(spark, database)
+
+
+def _refreshed(spark, sf_dir) -> tuple[str, DataFrame]:
+    """A dataset with a year too few, one too short and one of other values, brought up to date."""
+    path, rows = scratch_dir(spark, "refreshed"), customer_emissions(spark, sf_dir)
+    year, total = F.col("Year"), F.col("TotalEmissions")
+    before = rows.filter((year != 1998) & ((year != 1997) | (F.col("ShareOfGlobalEmissions") > 1)))
+    before = before.withColumn("TotalEmissions", F.when(year == 1996, -total).otherwise(total))
+    sinks.write_partitioned(before, path, ["Year"])
+    return path, sinks.refresh_partitioned(rows.filter(year != 1995), path, ["Year"])
+
+
+@_register("refreshed_years", _sql("SELECT * FROM customer_emissions"))
+def _(spark, sf_dir):
+    path, _ = _refreshed(spark, sf_dir)
+    return sources.read_parquet(spark, path)
+
+
+@_register(
+    "refresh_report",
+    _sql("""SELECT Year, old_rows, CASE WHEN Year = 1995 THEN 0 ELSE n END AS new_rows,
+  CASE WHEN Year = 1995 THEN 'absent' WHEN Year = 1998 THEN 'added'
+       WHEN Year IN (1996, 1997) THEN 'changed' ELSE 'same' END AS state
+FROM (SELECT Year, count(*) AS n, count(*) FILTER (Year <> 1998 AND (Year <> 1997 OR ShareOfGlobalEmissions > 1))
+  AS old_rows FROM customer_emissions GROUP BY 1)"""),
+)
+def _(spark, sf_dir):
+    return _refreshed(spark, sf_dir)[1]
+
+
 @_register("continent_csv", _sql("SELECT * FROM customer_continents"))
 def _(spark, sf_dir):
     raw = v.raw_customer_lookup(spark, sf_dir)

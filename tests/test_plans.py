@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from testbed import registry, views
 from yearloom import operators as op
+from yearloom import sinks
 from yearloom.functions import is_leap_year
 from yearloom.scratch import settled
 
@@ -139,6 +140,28 @@ def test_country_panel_with_settled_temperatures_needs_no_shuffle(spark, emissio
         assert count_nodes(plan_of(op.country_panel(emissions, temperatures)), "Exchange") == 2
 
 
+def test_panel_of_bucketed_tables_needs_no_shuffle(spark, emissions, readings, tmp_path):
+    temperatures = op.country_temperatures(readings)
+    sinks.create_database(spark, "bucketed_db", str(tmp_path / "bucketed"))
+    try:
+        for name, rows in (("e", emissions), ("t", temperatures)):
+            sinks.write_table(
+                rows, name, database="bucketed_db", bucket_by=["Year", "Country"], buckets=4
+            )
+        e, t = spark.table("bucketed_db.e"), spark.table("bucketed_db.t")
+        with no_broadcast(spark):
+            joined = op.country_panel(e, t, colocated=True)
+            plan = plan_of(joined)
+            assert count_nodes(plan, "Exchange") == 0 and count_nodes(plan, "SortMergeJoin") == 1
+            expected = op.country_panel(emissions, temperatures)
+            assert sorted(map(tuple, joined.collect())) == sorted(map(tuple, expected.collect()))
+            # With one of them in buckets, only the other moves.
+            half = plan_of(op.country_panel(emissions, t, colocated=True))
+            assert count_nodes(half, "Exchange") == 1
+    finally:
+        sinks.drop_database(spark, "bucketed_db")
+
+
 def test_anomalies_scan_the_readings_once(readings):
     anomalies = op.temperature_anomalies(op.country_temperatures(readings), 1995, 1997)
     plan = final_plan_of(anomalies)

@@ -228,6 +228,72 @@ def test_write_checked_takes_one_job(spark, emissions, tmp_path):
     assert once < jobs_of(spark, twice)
 
 
+def files_by_year(path):
+    return {p.name: sorted(f.name for f in data_files(p)) for p in path.iterdir() if p.is_dir()}
+
+
+def test_refresh_replaces_changed_years_only(spark, tmp_path):
+    path = tmp_path / "panel"
+    old = emission_rows(spark, (2000, "A", 1.0), (2001, "A", 2.0), (2002, "A", 3.0), (2003, None, 4.0))
+    report = sinks.refresh_partitioned(old, str(path), ["Year"])
+    assert {(r.Year, r.old_rows, r.new_rows, r.state) for r in report.collect()} == {
+        (y, 0, 1, "added") for y in range(2000, 2004)
+    }
+    before = files_by_year(path)
+    new = emission_rows(
+        spark, (2001, "A", 2.0), (2002, "A", 3.5), (2003, "A", 4.0), (2004, "B", 5.0), (2004, "B", 5.0)
+    )
+    report = sinks.refresh_partitioned(new, str(path), ["Year"])
+    assert {(r.Year, r.old_rows, r.new_rows, r.state) for r in report.collect()} == {
+        (2000, 1, 0, "absent"),
+        (2001, 1, 1, "same"),
+        (2002, 1, 1, "changed"),
+        (2003, 1, 1, "changed"),
+        (2004, 0, 2, "added"),
+    }
+    after = files_by_year(path)
+    for year in (2000, 2001):
+        assert after[f"Year={year}"] == before[f"Year={year}"]
+    for year in (2002, 2003):
+        assert after[f"Year={year}"] != before[f"Year={year}"]
+    expected = rows(new.select("Country", "TotalEmissions", "Year")) + [("A", 1.0, 2000)]
+    back = sources.read_parquet(spark, str(path)).select("Country", "TotalEmissions", "Year")
+    assert rows(back) == sorted(expected)
+    # Nothing to do the second time, and nothing is written.
+    again = sinks.refresh_partitioned(new, str(path), ["Year"])
+    assert {r.state for r in again.collect()} == {"same", "absent"}
+    assert files_by_year(path) == after
+
+
+def test_refresh_tells_nulls_from_each_other_and_refuses(spark, tmp_path):
+    path = str(tmp_path / "panel")
+    schema = "Year int, a int, b int"
+    sinks.refresh_partitioned(frame(spark, schema, (1, None, 5), (None, 1, 1), (2, 1, 1), (2, 2, 2)), path, ["Year"])
+    swapped = frame(spark, schema, (1, 5, None), (None, 1, 1), (2, 1, 1))
+    with pytest.raises(sinks.RefreshRefused, match="1 partitions .* such as 2"):
+        sinks.refresh_partitioned(swapped, path, ["Year"], most_lost=0.4)
+    assert spark.read.parquet(path).count() == 4
+    report = sinks.refresh_partitioned(swapped, path, ["Year"], most_lost=0.5)
+    assert {(r.Year, r.state) for r in report.collect()} == {(1, "changed"), (None, "same"), (2, "changed")}
+    back = spark.read.parquet(path).select("Year", "a", "b")
+    assert {tuple(r) for r in back.collect()} == {(1, 5, None), (None, 1, 1), (2, 1, 1)}
+    with pytest.raises(ValueError, match="columns"):
+        sinks.refresh_partitioned(swapped.drop("b"), path, ["Year"])
+
+
+def test_bucketed_table_is_published_again(spark, emissions, database):
+    publish = lambda df: sinks.write_table(
+        df, "b", database="published_db", bucket_by=["Year", "Country"], buckets=4
+    )
+    publish(emissions)
+    publish(emissions.filter("Year = 2000"))
+    assert rows(spark.table("published_db.b")) == rows(emissions.filter("Year = 2000"))
+    sinks.write_table(emissions, "b", database="published_db")
+    assert rows(spark.table("published_db.b")) == rows(emissions)
+    described = [r["col_name"] for r in spark.sql("DESCRIBE TABLE EXTENDED published_db.b").collect()]
+    assert "Num Buckets" not in described
+
+
 CONTINENT_CSV = """\
 Continent_Name,Continent_Code,Country_Name,Two_Letter_Country_Code,Three_Letter_Country_Code,Country_Number
 Asia,AS,"Afghanistan, Islamic Republic of",AF,AFG,4

@@ -29,3 +29,25 @@ def cleaned_year(text: Column, pattern: str = DATE_PATTERN) -> Column:
 def is_leap_year(year: Column) -> Column:
     """Gregorian leap-year test; NULL for a NULL year."""
     return (year % 4 == 0) & ((year % 100 != 0) | (year % 400 == 0))
+
+
+_EXACT = "decimal(38,18)"
+
+
+def exact_sum(value: Column) -> Column:
+    """The sum of numbers as a double, the same for every order and partitioning.
+
+    Each number is taken in its decimal notation with 18 places, and these are
+    added exactly; the total alone is rounded. Where a number has no such form,
+    as NaN and infinity and those of 20 digits before the point have none, or the
+    total outgrows it, the result is the ordinary sum. NULL if there is none.
+    """
+    value = value.cast("double")
+    number = value.try_cast(_EXACT)
+    exact = F.when(F.count(value) == F.count(number), F.try_sum(number).cast("double"))
+    return F.coalesce(exact, F.sum(value))
+
+
+def exact_avg(value: Column) -> Column:
+    """``exact_sum`` over the number of values."""
+    return exact_sum(value) / F.nullif(F.count(value), F.lit(0))

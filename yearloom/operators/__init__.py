@@ -17,6 +17,12 @@ from yearloom.operators.joins import (
     skew_safe_join,
     with_continent,
 )
+from yearloom.operators.names import (
+    ambiguous_names,
+    match_key,
+    reconciled_panel,
+    unmatched_names,
+)
 from yearloom.operators.order import in_order
 from yearloom.operators.questions import (
     largest_emitters,
@@ -49,6 +55,7 @@ from yearloom.operators.shape import (
 
 __all__ = [
     "after_year",
+    "ambiguous_names",
     "clean_readings",
     "continent_lookup",
     "countries_only",
@@ -70,13 +77,16 @@ __all__ = [
     "largest_emitters",
     "leap_year_fill",
     "lengthen",
+    "match_key",
     "null_counts",
     "rank_polluters",
+    "reconciled_panel",
     "skew_safe_join",
     "temperature_anomalies",
     "top_emitters",
     "top_observations",
     "top_rows",
+    "unmatched_names",
     "widen",
     "with_compact_names",
     "with_continent",

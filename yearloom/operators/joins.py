@@ -73,6 +73,7 @@ def country_panel(
     temperatures: DataFrame,
     salts: int = 1,
     where: Column | None = None,
+    colocated: bool = False,
 ) -> DataFrame:
     """Emissions beside the mean temperature of the same year and country.
 
@@ -80,11 +81,18 @@ def country_panel(
     inputs, so that readings the join would drop are not aggregated first; a
     filter of the result reaches the emissions only.
 
+    ``colocated`` says that both are tables with buckets by year and country,
+    or that one is: those rows stay where they are, and a country with most of
+    the rows of its bucket is not split.
+
     Names must agree exactly: title-cased temperature names such as
-    ``Bosnia And Herzegovina`` find no emissions row and are dropped.
+    ``Bosnia And Herzegovina`` find no emissions row and are dropped;
+    ``reconciled_panel`` finds them.
     """
     if where is not None:
         emissions, temperatures = emissions.filter(where), temperatures.filter(where)
+    if colocated:
+        return emissions.join(temperatures, on=["Year", "Country"], how="inner")
     return skew_safe_join(emissions, temperatures, ["Year", "Country"], "inner", salts)
 
 
