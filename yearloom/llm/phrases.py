@@ -23,6 +23,7 @@ import re
 import zlib
 from collections.abc import Iterator
 from functools import reduce
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -47,7 +48,7 @@ _GAP_BYTE = re.compile(rb"[ \t.,;:!?\n-\r]")
 _TWO_WORDS = re.compile(rb"[ \t]*[^ \t.,;:!?\n-\r]+(?:[ \t]+[^ \t.,;:!?\n-\r]+)?")
 
 #: Bytes of text looked at together, and entries held before they are passed on.
-_CHUNK, _HELD = 1 << 21, 1 << 19
+_CHUNK, _HELD = 1 << 20, 1 << 18
 #: Bits of a set of proposals at most, as a power of two, and the bytes of text
 #: for each range of hashes.
 _BITS, _RANGE = 27, 4 << 20
@@ -141,7 +142,8 @@ class _Held:
     def __init__(self, ranges: int):
         self.ranges, self.size = np.uint64(ranges), 0
         self.phrases: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
-        self.words: dict[int, list] = {}
+        self.words: dict[int, int] = {}
+        self.names: dict[int, tuple[str, str]] = {}
         self.totals: dict[str, int] = {}
 
     def add_totals(self, found: _Words, core: int, langs: list[str]) -> None:
@@ -152,9 +154,10 @@ class _Held:
         keys, first, n = np.unique(found.hashes[places], return_index=True, return_counts=True)
         for key, i, count in zip(keys.tolist(), places[first].tolist(), n.tolist()):
             if key in self.words:
-                self.words[key][2] += count
+                self.words[key] += count
             else:
-                self.words[key] = [langs[found.text[i]], found.word(i), count]
+                self.words[key] = count
+                self.names[key] = (langs[found.text[i]], found.word(i))
 
     def add(self, kind: int, columns: list[np.ndarray], key: np.ndarray) -> None:
         """Phrases by the hashes of their words, or by nothing but their own."""
@@ -194,22 +197,23 @@ class _Held:
             for a, z in zip(edges, edges[1:]):
                 made.append((int(r[a]), kind, body[a:z].tobytes(), n[a:z].tobytes(), None, None))
         self.phrases, self.size = {}, 0
+        entries = iter(made)
         if last or len(self.words) > _HELD:
-            made += self._words_and_totals()
-            self.words, self.totals = {}, {}
-        for i in range(0, len(made), 4096):
-            columns = zip(*made[i : i + 4096])
+            entries = chain(made, self._words_and_totals())
+        while some := list(islice(entries, 4096)):
+            columns = zip(*some)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, f.type) for c, f in zip(columns, _ENTRIES_ARROW)], schema=_ENTRIES_ARROW
             )
 
     def _words_and_totals(self) -> Iterator[tuple]:
         ranges = int(self.ranges)
-        for key, (lang, word, n) in self.words.items():
+        for key, n in self.words.items():
             own = key.to_bytes(8, "little")
-            yield (key >> 32) % ranges, 1, own, n.to_bytes(8, "little"), lang, word
+            yield (key >> 32) % ranges, 1, own, n.to_bytes(8, "little"), *self.names[key]
         for lang, n in self.totals.items():
             yield hash_of(lang) % ranges, _TOTAL, b"", n.to_bytes(8, "little"), lang, None
+        self.words, self.names, self.totals = {}, {}, {}
 
 
 def hash_of(text: str) -> int:
@@ -374,7 +378,7 @@ def frequent_phrases(texts: DataFrame, least: int, sample: float, lowered: float
     spark = texts.sparkSession
     context = spark.sparkContext
     size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    ranges, power = max(16, size // _RANGE), min(_BITS, max(16, size.bit_length()))
+    ranges, power = max(16, size // _RANGE), min(_BITS, max(16, size.bit_length() - 4))
 
     def added(texts: DataFrame, scan, least: int, what: str) -> DataFrame:
         entries = texts.mapInArrow(scan, _ENTRIES)
