@@ -10,8 +10,13 @@ of the first ``n - ceil(t * n) + k`` of each, at least ``k`` are then common.
 * A heavy set is put into the inverted list of each of these for ``k`` = 1, and
   so are the light sets large enough to be similar to a heavy one.
 
+The order is by how many sets hold a shingle, counted over all of them: none but
+the set itself, few, more or many. A shingle of one set brings nothing together
+and is put nowhere, so a set of new text has hardly an entry.
+
 The boundary between light and heavy is the size with the least cost: the pairs
-enumerated below it and the list entries to be scanned above it.
+enumerated below it, and above it the list entries times the length of the list
+that such an entry meets, as measured.
 
 What a pair or a list brings together is a candidate. A sketch of each set, a
 few bits of parity for each shingle, gives a lower bound of the number of
@@ -20,9 +25,10 @@ sets. Classes already linked need no verification among each other. So
 each round verifies the classes outside a list's largest component against a few
 members of that component, which settles large groups of near copies without
 all their pairs; a last round verifies whatever pairs of different components
-are left in any list.
+are left in any list. Pairs are of sizes that can be similar from the start.
 """
 
+import zlib
 from dataclasses import dataclass
 from itertools import combinations
 
@@ -30,6 +36,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from yearloom.llm.rows import fresh, quoted
 from yearloom.llm.shingles import mixed, shingle_set, word_hashes
@@ -40,22 +47,28 @@ from yearloom.scratch import remove, scratch_dir, settled
 class Settings:
     """``percent`` is the least similarity, ``words`` the length of a shingle.
 
-    ``count_bits`` is the logarithm of the number of counters that tell rare
-    shingles from frequent ones; equal numbers of either kind only cost time.
-    ``scan_cost`` is the cost of a list entry in units of an enumerated pair.
-    ``pivots`` has, round by round, how many members of a list's largest
-    component the other members are verified against.
+    ``level_bits`` is the logarithm of the number of bits that tell the shingles
+    of several sets at most; fewer do for small tables. Shingles that share a
+    bit count as held by as many sets as both, which only costs time.
+    ``scan_cost`` is the cost of a list entry in units of an enumerated pair, by
+    default the mean length of the lists that entries meet. ``pivots`` has,
+    round by round, how many members of a list's largest component the other
+    members are verified against.
     """
 
     percent: int = 80
     words: int = 5
-    count_bits: int = 18
-    scan_cost: float = 4.0
-    pivots: tuple[int, ...] = (1, 8)
+    level_bits: int = 28
+    scan_cost: float | None = None
+    pivots: tuple[int, ...] = (1, 1, 2, 4)
 
 
 #: No boundary lies above this size, where pairs cost far more than lists.
 _MOST_LIGHT = 400
+#: So many sets hold a shingle of each level above the first.
+_LEVELS = (2, 8, 64)
+#: Shingles counted together in a task, and bytes of text for each range of hashes.
+_COUNTED, _RANGE = 1 << 19, 4 << 20
 
 
 def _set_of(text: bytes, size: int) -> np.ndarray:
@@ -72,36 +85,119 @@ def _texts(batch: pa.RecordBatch):
     return (t.as_py() or b"" for t in batch.column("text"))
 
 
-def _describe(settings: Settings):
-    """Per document its class and size; per task how often each counter was hit."""
+class _Counts:
+    """How many sets of a task hold each shingle, in packets for ranges of hashes."""
+
+    def __init__(self, ranges: int):
+        self.ranges, self.sets, self.size = np.uint64(ranges), [], 0
+        self.counted = (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+
+    def add(self, own: np.ndarray) -> None:
+        self.sets.append(own)
+        self.size += len(own)
+
+    def full(self) -> bool:
+        if self.size < _COUNTED:
+            return False
+        self._merge()
+        return len(self.counted[0]) > _COUNTED
+
+    def _merge(self) -> None:
+        keys = np.concatenate([self.counted[0], *self.sets])
+        n = np.concatenate([self.counted[1], np.ones(len(keys) - len(self.counted[1]), np.int64)])
+        keys, of = np.unique(keys, return_inverse=True)
+        self.counted = keys, np.bincount(of, n, minlength=len(keys)).astype(np.int64)
+        self.sets, self.size = [], 0
+
+    def packets(self):
+        self._merge()
+        keys, n = self.counted
+        r = (keys >> np.uint64(32)) % self.ranges
+        order = np.argsort(r, kind="stable")
+        keys, n, r = keys[order].astype(np.uint32), np.minimum(n[order], 255).astype(np.uint8), r[order]
+        edges = np.flatnonzero(np.diff(r, prepend=np.uint64(2**63), append=np.uint64(2**63)))
+        for a, z in zip(edges, edges[1:]):
+            yield int(r[a]), keys[a:z].tobytes(), n[a:z].tobytes()
+        self.counted = keys[:0].astype(np.uint64), n[:0].astype(np.int64)
+
+
+def _describe(settings: Settings, ranges: int, kind: pa.DataType):
+    """Per document its class and size; per task how many sets hold each shingle."""
+    names = ["class", "n", "doc_id", "r", "keys", "counts"]
+
+    def documents(classes, sizes, ids):
+        n = len(sizes)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(classes, pa.int64()), pa.array(sizes, pa.int64()), ids,
+             pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary()), pa.nulls(n, pa.binary())],
+            names=names,
+        )
+
+    def packed(counts):
+        packets = list(counts.packets())
+        for i in range(0, len(packets), 1024):
+            some = packets[i : i + 1024]
+            r, keys, n = zip(*some)
+            yield pa.RecordBatch.from_arrays(
+                [pa.nulls(len(r), pa.int64()), pa.nulls(len(r), pa.int64()), pa.nulls(len(r), kind),
+                 pa.array(r, pa.int64()), pa.array(keys, pa.binary()), pa.array(n, pa.binary())],
+                names=names,
+            )
 
     def run(batches):
-        hits = np.zeros(1 << settings.count_bits, np.int64)
-        shift = np.uint64(64 - settings.count_bits)
+        counts, seen = _Counts(ranges), set()  # copies within a task count once
         for batch in batches:
             classes, sizes = [], []
             for text in _texts(batch):
                 own = _set_of(text, settings.words)
-                hits += np.bincount((own >> shift).astype(np.int64), minlength=len(hits))
                 classes.append(_signature(own))
                 sizes.append(len(own))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(classes, pa.int64()), pa.array(sizes, pa.int64()),
-                 batch.column("doc_id"), pa.array([True] * len(sizes))],
-                names=["class", "n", "doc_id", "is_doc"],
-            )
-        seen = np.flatnonzero(hits)
-        kind = batch.column("doc_id").type if len(seen) else None
-        if len(seen):
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(seen), pa.array(hits[seen]), pa.nulls(len(seen), kind),
-                 pa.array([False] * len(seen))],
-                names=["class", "n", "doc_id", "is_doc"],
-            )
+                if classes[-1] not in seen:
+                    seen.add(classes[-1])
+                    counts.add(own)
+                if counts.full():
+                    yield from packed(counts)
+            yield documents(classes, sizes, batch.column("doc_id"))
+        yield from packed(counts)
 
     return run
 
 
+def _several(packets: pa.Table) -> pa.Table:
+    """Of a range of hashes: those held by several sets, and by how many."""
+    keys = np.frombuffer(b"".join(packets["keys"].to_pylist()), np.uint32)
+    n = np.frombuffer(b"".join(packets["counts"].to_pylist()), np.uint8)
+    order = np.argsort(keys, kind="stable")
+    keys, n = keys[order], n[order].astype(np.int64)
+    starts = np.flatnonzero(np.diff(keys.astype(np.int64), prepend=-1))
+    total = np.add.reduceat(n, starts)
+    kept = total >= _LEVELS[0]
+    return pa.table({"slot": keys[starts[kept]].astype(np.int64), "n": total[kept]})
+
+
+def _level_bits(several: DataFrame, power: int) -> list[bytes]:
+    """For each level the bits of the shingles that reach it, packed.
+
+    At most one row for each 64 bits comes to the driver.
+    """
+    slot = F.col("slot").bitwiseAND(F.lit((1 << power) - 1))
+    mask = F.expr("shiftleft(1L, CAST(slot & 63 AS int))")
+    bits = [F.bit_or(F.when(F.col("n") >= n, mask)).alias(f"level{i}") for i, n in enumerate(_LEVELS)]
+    rows = several.groupBy(F.shiftrightunsigned(slot, 6).alias("at")).agg(*bits).toArrow()
+    found, at = [], rows["at"].to_numpy()
+    for i in range(len(_LEVELS)):
+        held = np.zeros(1 << (power - 6), np.uint64)
+        held[at] = rows[f"level{i}"].fill_null(0).to_numpy().view(np.uint64)
+        found.append(zlib.compress(held.tobytes(), 1))
+    return found
+
+
+def _level(own: np.ndarray, levels: list[np.ndarray]) -> np.ndarray:
+    slot = own & np.uint64(64 * len(levels[0]) - 1)
+    at, bit = slot >> np.uint64(6), slot & np.uint64(63)
+    return sum(((held[at] >> bit) & np.uint64(1)).astype(np.int64) for held in levels)
+
+
 def _prefix(n, percent: int, k: int):
     return n - -(-percent * n // 100) + k
 
@@ -122,37 +218,43 @@ def boundary(sizes: dict[int, int], percent: int, scan_cost: float) -> int:
     return best
 
 
-def _keys(own: np.ndarray, hits: np.ndarray, settings: Settings, light: int) -> np.ndarray:
+def _keys(own: np.ndarray, level: np.ndarray, settings: Settings, light: int) -> np.ndarray:
     """What a set is found under: hashes of pairs, of single shingles, or both."""
-    n, bits = len(own), np.uint64(64 - settings.count_bits)
-    order = np.lexsort((own, hits[(own >> bits).astype(np.int64)]))
+    n = len(own)
+    order = np.lexsort((own, level))
     found = []
     if n <= light:
-        first = own[order[: _prefix(n, settings.percent, 2)]]
-        pairs = np.array(list(combinations(first, 2)), np.uint64).reshape(-1, 2)
+        first = order[: _prefix(n, settings.percent, 2)]
+        pairs = np.array(list(combinations(own[first[level[first] > 0]], 2)), np.uint64).reshape(-1, 2)
         found.append(mixed(mixed(pairs[:, 0] + np.uint64(1)) + pairs[:, 1]))
     if n > light or 100 * n >= settings.percent * (light + 1):
-        found.append(own[order[: _prefix(n, settings.percent, 1)]])
+        first = order[: _prefix(n, settings.percent, 1)]
+        found.append(own[first[level[first] > 0]])
     return np.concatenate(found)
 
 
-def _place(hits: np.ndarray, settings: Settings, light: int):
+def _place(sent, settings: Settings, light: int):
+    """``sent`` broadcasts the bits of the levels."""
+
     def run(batches):
+        levels = [np.frombuffer(zlib.decompress(x), np.uint64) for x in sent.value]
         seen = set()  # copies within a task are placed once
         for batch in batches:
-            keys, classes = [], []
+            keys, classes, sizes = [], [], []
             for text in _texts(batch):
                 own = _set_of(text, settings.words)
                 name = _signature(own)
                 if len(own) and name not in seen:
                     seen.add(name)
-                    keys.append(_keys(own, hits, settings, light))
+                    keys.append(_keys(own, _level(own, levels), settings, light))
                     classes.append(name)
+                    sizes.append(len(own))
             repeat = [len(k) for k in keys]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.concatenate([*keys, np.zeros(0, np.uint64)]).view(np.int64)),
-                 pa.array(np.repeat(np.array(classes, np.int64), repeat))],
-                names=["key", "class"],
+                 pa.array(np.repeat(np.array(classes, np.int64), repeat)),
+                 pa.array(np.repeat(np.array(sizes, np.int64), repeat))],
+                names=["key", "class", "n"],
             )
 
     return run
@@ -237,9 +339,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             pairs = pairs.join(own, side)
         return pairs.select("a", "b", *[f"{side}_{c}" for side in "ab" for c in what])
 
-    near = beside(pairs, "n", "sketch").filter(
-        F.least("a_n", "b_n") * 100 >= F.greatest("a_n", "b_n") * percent
-    )
+    near = beside(pairs, "n", "sketch")
     near = settled(near.mapInArrow(_possible(percent), "a long, b long"), "possible-links")
     return settled(beside(near, "own").mapInArrow(_similar(percent), "a long, b long"), "links")
 
@@ -273,7 +373,14 @@ def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
         labels = moved.drop("moved")
 
 
-def _round_pairs(members: DataFrame, labels: DataFrame, pivots: int) -> DataFrame:
+def _comparable(percent: int) -> Column:
+    """Whether sets of sizes ``a_n`` and ``b_n`` can be similar at all."""
+    return F.least("a_n", "b_n") * 100 >= F.greatest("a_n", "b_n") * percent
+
+
+def _round_pairs(
+    members: DataFrame, labels: DataFrame, pivots: int, number: int, percent: int
+) -> DataFrame:
     """Members outside a list's largest component beside some members inside it."""
     known = members.join(labels, "class")
     largest = (
@@ -286,16 +393,19 @@ def _round_pairs(members: DataFrame, labels: DataFrame, pivots: int) -> DataFram
     )
     largest = settled(largest, "main-components")
     placed = known.join(largest, "key")
-    order = F.xxhash64(F.lit(pivots), "class")
+    order = F.xxhash64(F.lit(number), "class")
     chosen = (
         placed.filter(F.col("component") == F.col("main"))
         .groupBy("key", F.pmod(order, F.lit(pivots)).alias("slot"))
-        .agg(F.min_by("class", F.struct(order, "class")).alias("a"))
-        .select("key", "a")
+        .agg(F.min_by(F.struct("class", "n"), F.struct(order, "class")).alias("a"))
+        .select("key", F.col("a.class").alias("a"), F.col("a.n").alias("a_n"))
     )
     chosen = settled(chosen, "pivots")
-    outside = placed.filter(F.col("component") != F.col("main")).select("key", F.col("class").alias("b"))
-    return outside.join(chosen, "key").select("a", "b").distinct()
+    outside = placed.filter(F.col("component") != F.col("main")).select(
+        "key", F.col("class").alias("b"), F.col("n").alias("b_n")
+    )
+    pairs = outside.join(chosen.withColumnRenamed("key", "list"), (F.col("key") == F.col("list")) & _comparable(percent))
+    return pairs.select("a", "b").distinct()
 
 
 def linked_classes(
@@ -309,27 +419,40 @@ def linked_classes(
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
     texts = docs.select("doc_id", F.col("text").cast("binary").alias("text"))
+    size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    arrow_kind = to_arrow_type(docs.schema["doc_id"].dataType)
+    describe = _describe(settings, max(16, size // _RANGE), arrow_kind)
+    spark, scan, every_key = docs.sparkSession, *(scratch_dir(docs.sparkSession, x) for x in ("scan", "keys"))
     described = settled(
-        texts.mapInArrow(_describe(settings), f"class long, n long, doc_id {kind}, is_doc boolean"),
-        "classes",
+        texts.mapInArrow(describe, f"class long, n long, doc_id {kind}, r long, keys binary, counts binary"),
+        "scan",
+        scan,
     )
-    rows = described.filter("is_doc").drop("is_doc")
+    rows = settled(described.filter("r IS NULL").select("class", "n", "doc_id"), "classes")
+    packets = described.filter("r IS NOT NULL").select("r", "keys", "counts")
+    several = settled(packets.groupBy("r").applyInArrow(_several, "slot long, n long"), "shared-shingles")
+    remove(spark, scan)
     classes = settled(
         rows.filter("n > 0").groupBy("class", "n").agg(F.min("doc_id").alias("first_id")), "class-ids"
     )
-    counted = described.filter("NOT is_doc").groupBy("class").agg(F.sum("n").alias("n")).toPandas()
-    hits = np.zeros(1 << settings.count_bits, np.int64)
-    hits[counted["class"].to_numpy(np.int64)] = counted["n"].to_numpy(np.int64)
+    levels = _level_bits(several, min(settings.level_bits, max(16, size.bit_length() - 3)))
+    scan_cost = settings.scan_cost
+    if scan_cost is None:
+        # Shingles of many sets stand last in each and hardly come into a list.
+        met = several.filter(F.col("n") < _LEVELS[-1]).agg(F.sum(F.col("n") * F.col("n"))).first()[0]
+        entries = classes.agg(F.sum("n")).first()[0]
+        scan_cost = max(1.0, (met or 0) / (entries or 1))
     sizes = classes.filter(F.col("n") <= 2 * _MOST_LIGHT).groupBy("n").count().collect()
-    light = boundary({r["n"]: r["count"] for r in sizes}, settings.percent, settings.scan_cost)
+    light = boundary({r["n"]: r["count"] for r in sizes}, settings.percent, scan_cost)
 
-    spark, every_key = docs.sparkSession, scratch_dir(docs.sparkSession, "keys")
-    placed = texts.select("text").mapInArrow(_place(hits, settings, light), "key long, class long")
+    sent = spark.sparkContext.broadcast(levels)
+    placed = texts.select("text").mapInArrow(_place(sent, settings, light), "key long, class long, n long")
     placed = settled(placed, "keys", every_key)
+    sent.destroy()
     shared = placed.groupBy("key").agg(F.count("*").alias("places")).filter("places > 1")
     shared = settled(shared.select("key"), "shared-keys")
     members = settled(placed.join(shared, "key").distinct(), "members")
-    remove(spark, every_key)  # most keys have one class only
+    remove(spark, every_key)  # some keys have one class only
     nodes = settled(members.select("class").distinct(), "nodes")
 
     # The whole sets of the classes that meet another one, from one document each.
@@ -339,8 +462,9 @@ def linked_classes(
     sets = settled(sets, "sets")
 
     edges, labels = None, nodes.select("class", F.col("class").alias("component"))
-    for pivots in settings.pivots:
-        found = _verified(_round_pairs(members, labels, pivots), sets, settings.percent)
+    for number, pivots in enumerate(settings.pivots):
+        pairs = _round_pairs(members, labels, pivots, number, settings.percent)
+        found = _verified(pairs, sets, settings.percent)
         edges = found if edges is None else edges.unionAll(found)
         if not found.head(1):
             break
@@ -350,9 +474,17 @@ def linked_classes(
     several = known.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
     several = settled(several.filter("low < high").select("key"), "open-keys")
     known = settled(known.join(several, "key"), "open-members")
-    other = known.select("key", F.col("class").alias("b"), F.col("component").alias("b_part"))
-    left = known.withColumnRenamed("class", "a").join(other, "key")
-    left = left.filter((F.col("a") < F.col("b")) & (F.col("component") != F.col("b_part")))
+    sides = [
+        known.select(
+            F.col("key").alias(f"{side}_key"), F.col("class").alias(side), F.col("n").alias(f"{side}_n"),
+            F.col("component").alias(f"{side}_part"),
+        )
+        for side in "ab"
+    ]
+    differ = (F.col("a") < F.col("b")) & (F.col("a_part") != F.col("b_part"))
+    left = sides[0].join(
+        sides[1], (F.col("a_key") == F.col("b_key")) & differ & _comparable(settings.percent)
+    )
     found = _verified(left.select("a", "b").distinct(), sets, settings.percent)
     if found.head(1):
         labels = components(nodes, edges.unionAll(found))
