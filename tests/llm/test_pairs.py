@@ -109,6 +109,42 @@ def test_overlaps_survive_substitutions(spark):
     assert decontamination.contaminated(docs, bench.limit(0)).count() == 0
 
 
+def all_placements(docs, items):
+    """The pairs that overlap at any placement, by comparing all words at each."""
+    found = set()
+    for doc, text in docs:
+        d = (text or "").lower().split()
+        for item, other in items:
+            b = (other or "").lower().split()
+            needed = min(13, len(b))
+            allowed = 2 if len(b) >= 13 else 1 if len(b) >= 8 else 0
+            for shift in range(-len(b), len(d)):
+                equal = [x == d[i + shift] for i, x in enumerate(b) if 0 <= i + shift < len(d)]
+                runs = range(len(equal) - needed + 1) if b else ()
+                if any(sum(equal[s : s + needed]) >= needed - allowed for s in runs):
+                    found.add((doc, item))
+                    break
+    return found
+
+
+def test_short_items_are_found_at_every_place(spark):
+    items = [(n, " ".join(f"i{n}w{k}" for k in range(n))) for n in range(1, 16)] + [(0, " "), (99, None)]
+    docs, number = [], 0
+    for n, text in items[:15]:
+        for before in range(4):
+            for changed in [(), (0,), (n - 1,), (n // 2,), (0, n - 1), (n // 2 - 1, n // 2)]:
+                words = ["other" if i in changed else w for i, w in enumerate(text.split())]
+                number += 1
+                docs.append((number, " ".join([*prose(before, 100).split(), *words, *prose(n % 3, 200).split()])))
+    docs += [(9000, prose(3) + " " + items[11][1]), (9001, None), (9002, ""), (9003, items[6][1].upper())]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    found = decontamination.contaminated(documents(spark, docs), bench).collect()
+    assert {(r.doc_id, r.item_id) for r in found} == all_placements(docs, items)
+    kept = decontamination.without_benchmark(documents(spark, docs), bench)
+    flagged = {d for d, i in all_placements(docs, [(n, t) for n, t in items if n >= 8])}
+    assert {r.doc_id for r in kept.collect()} == {d for d, _ in docs} - flagged
+
+
 def test_repeated_lines(spark):
     rows = [
         (1, "a\nb\nc\nd"), (2, "x\n a \nb\n\nc\ny"), (3, "a\nb"), (4, None), (5, ""), (6, "a\nb\nc"),

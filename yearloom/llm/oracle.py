@@ -5,12 +5,7 @@ from yearloom.llm import decontamination, line_dedup
 _BLANKS = "' ' || chr(9) || chr(11) || chr(12) || chr(13)"
 
 
-def _masked(words: str) -> str:
-    (mask,) = decontamination.MASKS
-    chosen = [k for k, counts in enumerate(mask) if counts == "1"]
-    return " || ' ' || ".join(f"{words}[i + {k + 1}]" for k in chosen)
-
-
+# Placements are those of any equal word, so no seed can be missed.
 SPACED_SEEDS = f"""
 WITH d AS (
   SELECT doc_id, list_filter(string_split_regex(lower(text), '[ \\t\\n\\x0B\\f\\r]+'), lambda w: w <> '') AS w
@@ -18,21 +13,21 @@ WITH d AS (
 b AS (
   SELECT item_id, list_filter(string_split_regex(lower(text), '[ \\t\\n\\x0B\\f\\r]+'), lambda w: w <> '') AS w
   FROM benchmark WHERE text IS NOT NULL),
-ds AS (
-  SELECT doc_id, i AS at, {_masked('w')} AS seed
-  FROM (SELECT doc_id, w, unnest(range(0, len(w) - {len(decontamination.MASKS[0]) - 1}, {decontamination.STRIDE})) AS i FROM d)),
-bs AS (
-  SELECT item_id, i AS at, {_masked('w')} AS seed
-  FROM (SELECT item_id, w, unnest(range(0, len(w) - {len(decontamination.MASKS[0]) - 1})) AS i FROM b)),
-placed AS (SELECT DISTINCT doc_id, item_id, ds.at - bs.at AS shift FROM ds JOIN bs USING (seed)),
+ds AS (SELECT doc_id, unnest(w) AS word, unnest(range(len(w))) AS pos FROM d),
+bs AS (SELECT item_id, len(w) AS n, unnest(w) AS word, unnest(range(len(w))) AS pos FROM b),
+placed AS (
+  SELECT doc_id, item_id, ds.pos - bs.pos AS shift FROM ds JOIN bs USING (word) GROUP BY ALL
+  HAVING count(*) >= least({decontamination.STRETCH}, any_value(n)) - {decontamination.SUBSTITUTIONS}),
 beside AS (
   SELECT doc_id, item_id, len(b.w) AS item_words, least({decontamination.STRETCH}, len(b.w)) AS needed,
+    CASE WHEN len(b.w) >= {decontamination.STRETCH} THEN {decontamination.SUBSTITUTIONS}
+      WHEN len(b.w) >= {decontamination.HALVED} THEN 1 ELSE 0 END AS allowed,
     list_transform(range(greatest(0, -shift), least(len(b.w), len(d.w) - shift)),
       lambda i: CAST(b.w[i + 1] = d.w[i + shift + 1] AS integer)) AS equal
   FROM placed JOIN d USING (doc_id) JOIN b USING (item_id)),
 good AS (
   SELECT *, list_filter(range(0, len(equal) - needed + 1),
-    lambda s: list_sum(equal[s + 1:s + needed]) >= needed - {decontamination.SUBSTITUTIONS}) AS starts
+    lambda s: list_sum(equal[s + 1:s + needed]) >= needed - allowed) AS starts
   FROM beside)
 SELECT doc_id, item_id, CAST(max(item_words) AS bigint) AS item_words,
   CAST(max(list_sum(equal[list_min(starts) + 1:list_max(starts) + needed])) AS bigint) AS equal_words
