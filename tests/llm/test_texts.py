@@ -63,9 +63,11 @@ def test_fertility_figures(spark):
 
 
 def test_losses_are_those_of_a_plain_model(spark):
-    settings = lm_scoring.Settings()
+    # A model that still holds the document that it scores.
+    settings = lm_scoring.Settings(leave_out=False)
     docs = documents(spark, AWKWARD)
-    scored = lm_scoring.score_documents(docs, labels(spark, [(1, 1, 0), (6, 0, 0), (1, 1, 0), (None, 1, 0)]))
+    given = labels(spark, [(1, 1, 0), (6, 0, 0), (1, 1, 0), (None, 1, 0)])
+    scored = lm_scoring.score_documents(docs, given, settings)
     rows = scored.collect()
     assert len(rows) == len(AWKWARD)
     assert all((r.difference is None) == (r.n_words == 0) for r in rows)
@@ -96,6 +98,59 @@ def test_rare_script_has_its_own_bands(spark):
     assert fertility.script_of("’ hi") == fertility.script_of("") == "Latin"
 
 
+def plain_losses_left_out(texts, good, settings):
+    """As ``plain_losses``, with models made anew without each text."""
+    lists = [t.lower().split() for t in texts]
+    size = max(len({w for words in lists for w in words}), 1 << settings.word_bits)
+    for left, words in enumerate(lists):
+        sides = []
+        for chosen in (good, range(len(texts))):
+            single, pairs = Counter(), Counter()
+            for k in chosen:
+                if k != left:
+                    single.update(lists[k])
+                    pairs.update(zip(lists[k], lists[k][1:]))
+            sides.append((single, pairs))
+        n_good, n_all = (sum(single.values()) for single, _ in sides)
+        means = []
+        for (single, pairs), share in zip(sides, (1.0, n_good / n_all)):
+            losses = []
+            for before, word in zip([None, *words], words):
+                p1 = (share * single[word] + settings.added) / (n_good + settings.added * size)
+                weight = settings.pair_weight * (1 - (1 - share) ** single[before])
+                p2 = pairs[before, word] / max(single[before], 1)
+                losses.append(-np.log2(weight * p2 + (1 - weight) * p1))
+            means.append(np.mean(losses))
+        yield means
+
+
+def test_own_counts_are_left_out(spark):
+    rng = np.random.default_rng(6)
+    texts = [" ".join(f"w{int(k)}" for k in rng.zipf(1.4, 90) % 500) for _ in range(40)] + ["same text here"] * 2
+    good = list(range(0, 42, 4))
+    docs = documents(spark, list(enumerate(texts))).repartition(3)
+    settings = lm_scoring.Settings(word_bits=5)
+    found = lm_scoring.score_documents(docs, labels(spark, [(k, 1, 0) for k in good]), settings).collect()
+    for r, expected in zip(sorted(found), plain_losses_left_out(texts, good, settings), strict=True):
+        assert (r.target_loss, r.background_loss) == pytest.approx(expected, rel=1e-9)
+
+
+def test_a_label_does_not_make_a_document_familiar(spark):
+    rng = np.random.default_rng(8)
+    kinds = [[f"g{k}" for k in range(80)], [f"b{k}" for k in range(80)]]
+    texts = [" ".join(rng.choice(kinds[i % 3 == 0], 60)) for i in range(150)]
+    good = [i for i in range(150) if i % 3]
+    labelled = set(good[::2])
+    found = lm_scoring.score_documents(
+        documents(spark, list(enumerate(texts))), labels(spark, [(k, 1, 0) for k in labelled])
+    ).collect()
+    scores = {r.doc_id: r.difference for r in found}
+    told = np.median([scores[k] for k in labelled])
+    held = np.median([scores[k] for k in good if k not in labelled])
+    bad = np.median([scores[k] for k in range(0, 150, 3)])
+    assert abs(told - held) < 0.1 * (bad - held)
+
+
 def plain_losses(texts, good, settings):
     """Both mean losses of every text by exact counts, with a dictionary of words."""
     sides, lists = [], [t.lower().split() for t in texts]
@@ -122,7 +177,7 @@ def plain_losses(texts, good, settings):
 
 def test_losses_with_more_words_than_the_least_vocabulary(spark):
     rng = np.random.default_rng(5)
-    settings = lm_scoring.Settings(word_bits=6)
+    settings = lm_scoring.Settings(word_bits=6, leave_out=False)
     texts = [" ".join(f"W{int(k)}" for k in rng.zipf(1.3, 120) % 4000) for _ in range(60)]
     good = list(range(0, 60, 3))
     docs = documents(spark, list(enumerate(texts))).repartition(5)

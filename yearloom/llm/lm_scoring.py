@@ -8,7 +8,9 @@ target's share of all words, its single words count ``s`` times, and a bigram
 weighs as much as it does on average in random parts of that share, that is by
 the probability that such a part has its first word. A document's score is the
 mean difference of the losses that both models have for each of its words; below
-zero it is more like the target than like the corpus.
+zero it is more like the target than like the corpus. What a document itself has
+added to either model is left out when it is scored: its label does not make it
+look familiar, while a second copy of it does.
 
 Texts are stored in blocks. A block sends each of its different keys once, with
 its counts, to the task that has that range of keys, and gets the counts of the
@@ -25,11 +27,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from yearloom.llm.shingles import mixed, word_hashes
-from yearloom.scratch import settled
+from yearloom.scratch import remove, scratch_dir, settled
 
 #: Bytes of text in a block, and bytes of all texts for each range of keys.
 _BLOCK, _RANGE = 1 << 23, 1 << 23
 _KIND = np.uint64(1)
+#: Stored target ids above this number are joined by shuffle; one takes 8 bytes.
+BROADCAST_IDS = 2_000_000
 
 
 @dataclass(frozen=True)
@@ -38,11 +42,14 @@ class Settings:
 
     ``added`` is added to the count of every word of the vocabulary, which has
     ``2 ** word_bits`` words, or as many as the corpus where that has more.
+    ``leave_out`` takes a document's own words and pairs out of both models when
+    it is scored.
     """
 
     word_bits: int = 18
     pair_weight: float = 0.6
     added: float = 0.5
+    leave_out: bool = True
 
 
 def _keys(text: bytes | None) -> tuple[np.ndarray, np.ndarray]:
@@ -172,8 +179,6 @@ def _losses(words, before, pairs, share: float, sizes: Sizes, settings: Settings
 
 
 def _scored(sizes: Sizes, settings: Settings):
-    share = sizes.good / sizes.total if sizes.total else 0.0
-
     def run(docs: pa.Table, answers: pa.Table) -> pa.Table:
         order = np.argsort(np.array(answers.column("range"), np.int64))
         texts = [_keys(t.as_py()) for t in docs.column("text")]
@@ -187,15 +192,21 @@ def _scored(sizes: Sizes, settings: Settings):
             if len(counts[-1]) != len(keys):
                 raise ValueError("a block's keys have changed since they were counted")
         rows, at = [], 0
-        for words, pairs in texts:
+        for (words, pairs), good in zip(texts, docs.column("good").to_pylist()):
             n, end = len(words), at + len(words) + len(pairs)
-            means = []
-            for count, part in ((counts[1], 1.0), (counts[0], share)):
-                own = count[which[at : at + n]]
+            here, left, means = which[at:end], sizes, []
+            mine = np.zeros(len(here))
+            if settings.leave_out:
+                _, of, times = np.unique(here, return_inverse=True, return_counts=True)
+                mine = times[of].astype(np.float64)
+                left = Sizes(sizes.vocabulary, sizes.total - n, sizes.good - n * good)
+            share = left.good / left.total if left.total else 0.0
+            for count, part, own in ((counts[1], 1.0, mine * good), (counts[0], share, mine)):
                 if n:
-                    before = np.concatenate([np.zeros(1), own[:-1]])
-                    both = np.concatenate([np.zeros(1), count[which[at + n : end]]])
-                    means.append(float(_losses(own, before, both, part, sizes, settings).mean()))
+                    known = count[here] - own
+                    before = np.concatenate([np.zeros(1), known[: n - 1]])
+                    both = np.concatenate([np.zeros(1), known[n:]])
+                    means.append(float(_losses(known[:n], before, both, part, left, settings).mean()))
             rows.append((n, *means, means[0] - means[1]) if n else (0, None, None, None))
             at = end
         columns = list(zip(*rows)) or [[]] * 4
@@ -218,24 +229,38 @@ def score_documents(docs: DataFrame, labels: DataFrame, settings: Settings = Set
     differ nowhere.
     """
     good = labels.filter("quality = 1 AND doc_id IS NOT NULL").select(F.col("doc_id").alias("id")).distinct()
-    good = settled(good, "target-ids")
+    spark = docs.sparkSession
+    paths = {what: scratch_dir(spark, what) for what in ("target-ids", "blocks", "counts")}
+    try:
+        return settled(_scores(docs, good, settings, paths), "losses")
+    finally:
+        for path in paths.values():
+            remove(spark, path)
+
+
+def _scores(docs: DataFrame, good: DataFrame, settings: Settings, paths: dict[str, str]) -> DataFrame:
+    good = settled(good, "target-ids", paths["target-ids"])
+    if good.count() <= BROADCAST_IDS:
+        good = F.broadcast(good)  # the texts stay where they are
     own = docs.select("doc_id", F.col("text").cast("binary").alias("text"))
     own = own.join(good, F.col("doc_id") == F.col("id"), "left")
     own = own.select("doc_id", "text", F.col("id").isNotNull().alias("good"))
     kind = own.schema["doc_id"].dataType.simpleString()
     texts = settled(
-        own.mapInArrow(_blocks, f"block long, doc_id {kind}, text binary, good boolean"), "blocks"
+        own.mapInArrow(_blocks, f"block long, doc_id {kind}, text binary, good boolean"),
+        "blocks",
+        paths["blocks"],
     )
     size = texts.agg(F.sum(F.length("text"))).first()[0] or 0
     bits = max(4, (size // _RANGE).bit_length())
     asked = texts.select("block", "text", "good").mapInArrow(
         _counted(bits), "range int, block long, keys binary, total binary, good binary"
     )
-    answers = settled(asked.groupBy("range").applyInArrow(_answered, _ANSWER), "counts")
+    answers = settled(asked.groupBy("range").applyInArrow(_answered, _ANSWER), "counts", paths["counts"])
     found = answers.agg(*[F.coalesce(F.sum(c), F.lit(0)) for c in ("n_words", "all_words", "good_words")]).first()
     sizes = Sizes(max(1 << settings.word_bits, found[0]), found[1], found[2])
     return (
-        texts.select("block", "doc_id", "text")
+        texts.select("block", "doc_id", "text", "good")
         .groupBy("block")
         .cogroup(answers.select("block", "range", "total", "good").groupBy("block"))
         .applyInArrow(
