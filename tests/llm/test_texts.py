@@ -194,6 +194,20 @@ def test_background_is_counted_on_every_document(spark):
     assert len(losses) == 40 and max(losses) == pytest.approx(min(losses))
 
 
+@pytest.mark.parametrize(
+    "folder, kind, path",
+    [
+        ("file:///a/b", "local", "/a/b"),
+        ("/a/b", "local", "/a/b"),
+        ("dbfs:/a/b", "local", "/dbfs/a/b"),
+        ("s3a://bucket/a/b?region=eu-west-1", "s3", "bucket/a/b"),
+    ],
+)
+def test_folders_of_stores(folder, kind, path):
+    files, base = warc._opened(folder)
+    assert (files.type_name, base) == (kind, path)
+
+
 def test_archives_come_back(spark):
     big = "x" * 300_000 + "é\r\n\r\nWARC/1.1\r\n"
     rows = [(1, "http://a/ b", "same"), (5, None, "same"), (5, "u", "same"), (3, "http://c", big),

@@ -73,11 +73,25 @@ def _record(kind: str, page_id, url, payload: memoryview, refers_to) -> Iterator
     yield b"\r\n\r\n"
 
 
+def _opened(folder: str) -> tuple[arrow_fs.FileSystem, str]:
+    """The file system of a folder and the path there.
+
+    Spark's readers know stores by some names that Arrow has others for, and one
+    store that executors see as a folder.
+    """
+    scheme, colon, rest = folder.partition(":")
+    if colon and scheme in ("s3a", "s3n"):
+        folder = f"s3:{rest}"
+    elif colon and scheme == "dbfs":
+        folder = f"/dbfs/{rest.lstrip('/')}"
+    return arrow_fs.FileSystem.from_uri(folder)
+
+
 def _write(folder: str):
     """Archives of a task's rows; gives name, records and bytes of each."""
 
     def run(batches):
-        files, base = arrow_fs.FileSystem.from_uri(folder)
+        files, base = _opened(folder)
         files.create_dir(base, recursive=True)
         task, made = TaskContext.get().partitionId(), []
         out, name, records, size = None, "", 0, 0
@@ -228,7 +242,7 @@ def _read(folder: str, chunk_bytes: int):
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
 
     def run(batches):
-        files, base = arrow_fs.FileSystem.from_uri(folder)
+        files, base = _opened(folder)
         for listed in batches:
             for name in listed.column("archive").to_pylist():
                 rows, size = [], 0
