@@ -289,3 +289,50 @@ def test_word_ids_are_those_of_the_whole_text():
     texts = ["", "It's we'll, don't.. A1b2 12,5 x-y", "İstanbul. İ, ΑΣ Σ", "J̌ é É ß ẞ,", "\ta\r\n b  c", "a" * 400 + "."]
     for t in texts:
         assert own.ids(t) == np.array(whole.encode(t, add_special_tokens=False).ids, "<u4").tobytes()
+
+
+def plain_verdicts(texts, pieces, settings):
+    """Whether each (text, language) is kept, with bands from all sound ones."""
+    names, failed, figures = [], [], []
+    for text, lang in texts:
+        n_words, _, _, _, repeated, _, *own = fertility.measures(text, pieces)
+        script = fertility.script_of(text or "")
+        names.append((lang or f"script {script}", script))
+        failed.append(n_words < 50 or 100 * repeated > 50 * n_words)
+        figures.append(own)
+
+    def quartiles(of):
+        rows = [[round(x, 3) for x in own] for own, f, n in zip(figures, failed, names) if not f and of in n]
+        return len(rows), np.percentile(np.array(rows), [25, 75], axis=0).T if rows else None
+
+    for (lang, script), own, bad in zip(names, figures, failed):
+        (n, mine), (of_script, theirs) = quartiles(lang), quartiles(script)
+        kept = not bad
+        for k, slack in enumerate(settings.slack if kept else ()):
+            low, high = (n * mine[k] + settings.prior * theirs[k]) / (n + settings.prior)
+            around = (high - low) * settings.reach + slack * (1 + (settings.prior / of_script) ** 0.5)
+            kept = kept and low - around <= own[k] <= high + around
+        yield kept
+
+
+def test_bands_are_those_of_plain_quartiles(spark):
+    rng = np.random.default_rng(4)
+    words = {
+        "en": "the quick brown fox jumps over lazy dogs and then runs home".split(),
+        "ru": "быстрая коричневая лиса прыгает через ленивую собаку домой".split(),
+        None: "παντα ρει και ουδεν μενει ποταμος δις εμβαιη".split(),
+    }
+    texts = []
+    for lang, own in words.items():
+        for i in range(40):
+            text = " ".join(f"{a}{b}" for a, b in zip(rng.choice(own, 80), rng.choice(own, 80)))
+            texts.append((text, lang))
+        texts += [(" ".join(f"{k:x}q{k * 7919:x}" for k in range(90)), lang), (" ".join(own * 30), lang)]
+    texts += [("\U000f0000 " * 60, "en"), (None, "en"), ("few words", "ru")]
+    model = P.path("piece_bpe_32k.model")
+    rows = [(i, t, g) for i, (t, g) in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    found = {r.doc_id: r.kept for r in fertility.judge(docs, model).collect()}
+    expected = list(plain_verdicts(texts, fertility.Pieces(model), fertility.Settings()))
+    assert [found[i] for i in range(len(texts))] == expected
+    assert 0 < sum(expected) < len(texts)
