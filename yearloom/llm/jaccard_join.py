@@ -373,6 +373,24 @@ def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
         labels = moved.drop("moved")
 
 
+def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """``labels`` after the components that ``links`` connect have become one.
+
+    Only the components that a link touches take part.
+    """
+    for side in "ab":
+        own = labels.select(F.col("class").alias(side), F.col("component").alias(f"{side}_part"))
+        links = links.join(own, side)
+    edges = links.select(F.col("a_part").alias("a"), F.col("b_part").alias("b")).distinct()
+    edges = settled(edges.filter("a <> b"), "merged")
+    ends = edges.select(F.col("a").alias("class")).unionAll(edges.select("b")).distinct()
+    joined = components(ends, edges).select(
+        F.col("class").alias("was"), F.col("component").alias("joined")
+    )
+    after = labels.join(joined, F.col("component") == F.col("was"), "left")
+    return settled(after.select("class", F.coalesce("joined", "component").alias("component")), "labels")
+
+
 def _comparable(percent: int) -> Column:
     """Whether sets of sizes ``a_n`` and ``b_n`` can be similar at all."""
     return F.least("a_n", "b_n") * 100 >= F.greatest("a_n", "b_n") * percent
@@ -380,8 +398,12 @@ def _comparable(percent: int) -> Column:
 
 def _round_pairs(
     members: DataFrame, labels: DataFrame, pivots: int, number: int, percent: int
-) -> DataFrame:
-    """Members outside a list's largest component beside some members inside it."""
+) -> tuple[DataFrame, DataFrame]:
+    """Members outside a list's largest component beside some members inside it.
+
+    The second result are the members of lists of several components. The others
+    have nothing to find, now or later.
+    """
     known = members.join(labels, "class")
     largest = (
         known.groupBy("key", "component")
@@ -392,7 +414,7 @@ def _round_pairs(
         .drop("parts")
     )
     largest = settled(largest, "main-components")
-    placed = known.join(largest, "key")
+    placed = settled(known.join(largest, "key"), "open-members")
     order = F.xxhash64(F.lit(number), "class")
     chosen = (
         placed.filter(F.col("component") == F.col("main"))
@@ -405,7 +427,7 @@ def _round_pairs(
         "key", F.col("class").alias("b"), F.col("n").alias("b_n")
     )
     pairs = outside.join(chosen.withColumnRenamed("key", "list"), (F.col("key") == F.col("list")) & _comparable(percent))
-    return pairs.select("a", "b").distinct()
+    return pairs.select("a", "b").distinct(), placed.select("key", "class", "n")
 
 
 def linked_classes(
@@ -461,14 +483,13 @@ def linked_classes(
     sets = own.mapInArrow(_whole_sets(settings), "class long, n long, own binary, sketch binary")
     sets = settled(sets, "sets")
 
-    edges, labels = None, nodes.select("class", F.col("class").alias("component"))
+    labels = nodes.select("class", F.col("class").alias("component"))
     for number, pivots in enumerate(settings.pivots):
-        pairs = _round_pairs(members, labels, pivots, number, settings.percent)
+        pairs, members = _round_pairs(members, labels, pivots, number, settings.percent)
         found = _verified(pairs, sets, settings.percent)
-        edges = found if edges is None else edges.unionAll(found)
         if not found.head(1):
             break
-        labels = components(nodes, edges)
+        labels = _merged(labels, found)
     # Whatever is left: all pairs of different components in any list.
     known = members.join(labels, "class")
     several = known.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
@@ -487,7 +508,7 @@ def linked_classes(
     )
     found = _verified(left.select("a", "b").distinct(), sets, settings.percent)
     if found.head(1):
-        labels = components(nodes, edges.unionAll(found))
+        labels = _merged(labels, found)
 
     of_class = classes.join(labels, "class", "left").select(
         "class", "n", "first_id", F.coalesce("component", "class").alias("component")
