@@ -67,6 +67,8 @@ class Settings:
 _MOST_LIGHT = 400
 #: So many sets hold a shingle of each level above the first.
 _LEVELS = (2, 8, 64)
+#: Lists by which two sets tell whether they have met before.
+_NAMED = 64
 #: Shingles counted together in a task, and bytes of text for each range of hashes.
 _COUNTED, _RANGE = 1 << 19, 4 << 20
 
@@ -396,13 +398,10 @@ def _comparable(percent: int) -> Column:
     return F.least("a_n", "b_n") * 100 >= F.greatest("a_n", "b_n") * percent
 
 
-def _round_pairs(
-    members: DataFrame, labels: DataFrame, pivots: int, number: int, percent: int
-) -> tuple[DataFrame, DataFrame]:
-    """Members outside a list's largest component beside some members inside it.
+def _open_lists(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """The members of lists of several components, beside the largest of these.
 
-    The second result are the members of lists of several components. The others
-    have nothing to find, now or later.
+    The other lists have nothing to find, now or later.
     """
     known = members.join(labels, "class")
     largest = (
@@ -414,20 +413,54 @@ def _round_pairs(
         .drop("parts")
     )
     largest = settled(largest, "main-components")
-    placed = settled(known.join(largest, "key"), "open-members")
+    return settled(known.join(largest, "key"), "open-members")
+
+
+def _round_pairs(placed: DataFrame, pivots: int, number: int, percent: int) -> DataFrame:
+    """Members outside a list's largest component beside some members inside it."""
     order = F.xxhash64(F.lit(number), "class")
     chosen = (
         placed.filter(F.col("component") == F.col("main"))
         .groupBy("key", F.pmod(order, F.lit(pivots)).alias("slot"))
         .agg(F.min_by(F.struct("class", "n"), F.struct(order, "class")).alias("a"))
-        .select("key", F.col("a.class").alias("a"), F.col("a.n").alias("a_n"))
+        .select(F.col("key").alias("list"), F.col("a.class").alias("a"), F.col("a.n").alias("a_n"))
     )
     chosen = settled(chosen, "pivots")
     outside = placed.filter(F.col("component") != F.col("main")).select(
         "key", F.col("class").alias("b"), F.col("n").alias("b_n")
     )
-    pairs = outside.join(chosen.withColumnRenamed("key", "list"), (F.col("key") == F.col("list")) & _comparable(percent))
-    return pairs.select("a", "b").distinct(), placed.select("key", "class", "n")
+    pairs = outside.join(chosen, (F.col("key") == F.col("list")) & _comparable(percent))
+    return pairs.select("a", "b").distinct()
+
+
+def _all_pairs(placed: DataFrame, percent: int) -> DataFrame:
+    """All pairs of different components in any list, of which one is outside its largest.
+
+    Two sets may meet in many lists. They are a pair in the first of those that
+    both name among some of their lists, and in all if they name none alike.
+    """
+    some = placed.groupBy("class").agg(
+        F.slice(F.sort_array(F.collect_set("key")), 1, _NAMED).alias("some")
+    )
+    placed = settled(placed.join(some, "class"), "last-members")
+    sides = [
+        placed.select(
+            F.col("key").alias(f"{side}_key"), F.col("class").alias(side), F.col("n").alias(f"{side}_n"),
+            F.col("component").alias(f"{side}_part"), F.col("main").alias(f"{side}_main"),
+            F.col("some").alias(f"{side}_some"),
+        )
+        for side in "ab"
+    ]
+    outside = sides[0].filter(F.col("a_part") != F.col("a_main"))
+    first = F.array_min(F.array_intersect("a_some", "b_some"))
+    # Two sets outside are beside each other twice.
+    once = (F.col("b_part") == F.col("b_main")) | (F.col("a") < F.col("b"))
+    apart = (F.col("a_part") != F.col("b_part")) & once & _comparable(percent)
+    pairs = outside.join(
+        sides[1],
+        (F.col("a_key") == F.col("b_key")) & apart & (first.isNull() | (first == F.col("a_key"))),
+    )
+    return pairs.select("a", "b").distinct()
 
 
 def linked_classes(
@@ -485,28 +518,15 @@ def linked_classes(
 
     labels = nodes.select("class", F.col("class").alias("component"))
     for number, pivots in enumerate(settings.pivots):
-        pairs, members = _round_pairs(members, labels, pivots, number, settings.percent)
+        placed = _open_lists(members, labels)
+        members = placed.select("key", "class", "n")
+        pairs = _round_pairs(placed, pivots, number, settings.percent)
         found = _verified(pairs, sets, settings.percent)
         if not found.head(1):
             break
         labels = _merged(labels, found)
-    # Whatever is left: all pairs of different components in any list.
-    known = members.join(labels, "class")
-    several = known.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    several = settled(several.filter("low < high").select("key"), "open-keys")
-    known = settled(known.join(several, "key"), "open-members")
-    sides = [
-        known.select(
-            F.col("key").alias(f"{side}_key"), F.col("class").alias(side), F.col("n").alias(f"{side}_n"),
-            F.col("component").alias(f"{side}_part"),
-        )
-        for side in "ab"
-    ]
-    differ = (F.col("a") < F.col("b")) & (F.col("a_part") != F.col("b_part"))
-    left = sides[0].join(
-        sides[1], (F.col("a_key") == F.col("b_key")) & differ & _comparable(settings.percent)
-    )
-    found = _verified(left.select("a", "b").distinct(), sets, settings.percent)
+    pairs = _all_pairs(_open_lists(members, labels), settings.percent)
+    found = _verified(pairs, sets, settings.percent)
     if found.head(1):
         labels = _merged(labels, found)
 
