@@ -40,6 +40,13 @@ QUERIES = [
     "rank_polluters",
     "sorted_roundtrip",
     "partitioned_roundtrip",
+    "leap_year_fill_bucketed",
+    "avg_by_country_exact",
+    "reconciled_panel",
+    "bucketed_panel",
+    "refreshed_years",
+    "csv_bad_records",
+    "managed_table_again",
     "whole_run",
 ]
 
