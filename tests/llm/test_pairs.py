@@ -5,6 +5,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from cases import AWKWARD, documents, prose
 from compare import differences, oracle_connection
@@ -190,6 +191,54 @@ def test_repeated_bytes(spark, index_bytes):
     assert substring_dedup.remove_repeated(docs.limit(0)).count() == 0
 
 
+def test_spans_are_cut_to_what_others_can_repeat():
+    rng = np.random.default_rng(6)
+
+    def letters(n):
+        return rng.integers(97, 123, n, np.uint8)
+
+    def minimizer_of(data, at):
+        sums = substring_dedup._prefix_sums(data, substring_dedup._BYTES)
+        return substring_dedup._hashes(sums, np.array([at]), np.array([at + substring_dedup.K]))[0]
+
+    common, texts = letters(520), []
+    for own in (100, 200, 260, 520):  # so much is equal around a minimizer at place 330
+        for _ in range(2):
+            t, half = letters(700), own // 2
+            t[346 - half : 346 + half] = common[260 - half : 260 + half]
+            texts.append(t)
+    minimizers = np.array([minimizer_of(t, 330) for t in texts])
+    assert len(set(minimizers.tolist())) == 1
+    first, last = substring_dedup._reaches(texts, minimizers, 400)
+    assert (last[:6] == -1).all()  # the minimizer alone, or too little around it
+    # Windows 86 to 206 of the last two are equal.
+    assert (first[6:] <= 86).all() and (last[6:] >= 206).all() and (last[6:] - first[6:] < 121 + 2 * 47).all()
+    names = ["minimizer", "one", "two", "bytes"]
+    keys = [pa.array(minimizers.view(np.int64)), pa.array(range(8)), pa.array(range(8))]
+    table = pa.table([*keys, pa.array([t.tobytes() for t in texts])], names=names)
+    made = substring_dedup._index(400)(table)["again"].to_pylist()
+    assert made[:6] == [b""] * 6 and [np.frombuffer(m, "<i4").tolist() for m in made[6:]] == [[86, 206]] * 2
+
+
+def test_edited_copies_lose_what_occurs_twice(spark):
+    rng = np.random.default_rng(8)
+    base, texts = rng.integers(97, 123, 2500, np.uint8), []
+    for k in range(12):
+        t = base.copy()
+        t[rng.choice(2500, 2 * k % 9, replace=False)] = 65 + k
+        texts.append((k, t[rng.integers(0, 300) : 2500 - rng.integers(0, 300)].tobytes()))
+    starts = Counter(t[k : k + 400] for _, t in texts for k in range(len(t) - 399))
+    docs = spark.createDataFrame([(i, t.decode()) for i, t in texts], "doc_id long, text string")
+    found = {r.doc_id: r.removed for r in substring_dedup.remove_repeated(docs).collect()}
+    for i, t in texts:
+        out = np.zeros(len(t), bool)
+        for k in range(len(t) - 399):
+            if starts[t[k : k + 400]] > 1:
+                out[k : k + 400] = True
+        edge = np.flatnonzero(np.diff(out.astype(int), prepend=0, append=0)).tolist()
+        assert [(r.start, r.end) for r in found[i]] == list(zip(edge[::2], edge[1::2]))
+
+
 def test_run_index_statistics():
     rng = np.random.default_rng(4)
     for _ in range(20):
