@@ -22,6 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from yearloom.llm.rows import released
 from yearloom.llm.tokens import WordTokenizer
 from yearloom.scratch import settled
 
@@ -31,7 +32,7 @@ END_ID = 1
 BROADCAST_ROWS = 1_000_000
 _PIECE = "doc_id {id}, doc_tokens long, start long, length int, nth long, task int, ids binary"
 _PLACED = "doc_id {id}, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
-_BATCH_BYTES = 16 << 20
+_BATCH_BYTES = 4 << 20
 
 
 def _reach(lengths: list[int], counts: list[int], target: int) -> list[int]:
@@ -157,7 +158,7 @@ def _cut_into_pieces(tokenizer: Callable[[], WordTokenizer], capacity: int, end_
             if rows:
                 yield _batch(rows, kind)
 
-    return run
+    return released(run)
 
 
 def _batch(rows: list[tuple], kind: pa.DataType) -> pa.RecordBatch:
@@ -202,7 +203,7 @@ def _put_in_place(plan: Plan):
                 names=["doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"],
             )
 
-    return run
+    return released(run)
 
 
 def pack(

@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from yearloom.llm.rows import fresh, quoted
+from yearloom.llm.rows import fresh, quoted, released
 
 _CHUNK = 1 << 20  # code points hashed at a time
 
@@ -121,7 +121,7 @@ def _count(settings: Settings):
                 names=["gram", "clean", "toxic"],
             )
 
-    return run
+    return released(run)
 
 
 def _encode(slots: np.ndarray, settings: Settings):
@@ -137,7 +137,7 @@ def _encode(slots: np.ndarray, settings: Settings):
                 names=["id", "features", "toxic"],
             )
 
-    return run
+    return released(run)
 
 
 def _logistic(rows: list[np.ndarray], y: np.ndarray, ratios: np.ndarray, settings: Settings):
@@ -233,7 +233,8 @@ def score(model: Model, text: Column) -> Column:
 
     @F.arrow_udf("double")
     def scored(texts: pa.Array) -> pa.Array:
-        return pa.array([score_text(t, model) for t in texts.to_pylist()], pa.float64())
+        # One text at a time is held as Python's, beside the batch.
+        return pa.array([score_text(t.as_py(), model) for t in texts], pa.float64())
 
     return scored(text)
 
