@@ -10,12 +10,14 @@ import pytest
 from cases import AWKWARD, documents, prose
 from compare import differences, oracle_connection
 from conftest import TESTDATA
+from pyspark.sql import functions as F
 
 from yearloom.llm import (
     decontamination,
     jaccard_join,
     line_dedup,
     queries,
+    rows,
     shingles,
     substring_dedup,
     url_filter,
@@ -76,6 +78,61 @@ def test_boundary_follows_the_cost():
     assert jaccard_join.boundary(sizes, 80, 0.01) < jaccard_join.boundary(sizes, 80, 50.0)
 
 
+def edited_copies(copies, edits):
+    """Copies of one text, each with so many words changed at places of its own."""
+    rng, base, rows = np.random.default_rng(11), prose(150).split(), []
+    for k in range(copies):
+        own = list(base)
+        for i in rng.choice(len(own), edits[k % len(edits)], replace=False):
+            own[i] = f"new{k}x{i}"
+        rows.append((k, " ".join(own)))
+    return rows
+
+
+def test_last_round_leaves_out_copies_that_cannot_be_similar(spark):
+    rows = edited_copies(80, [1, 6, 7, 8])
+    texts = spark.createDataFrame([(jaccard_join._signature(jaccard_join._set_of(t.encode(), 5)), t) for _, t in rows], "class long, text string")
+    made = jaccard_join._whole_sets(jaccard_join.Settings())
+    sets = texts.select("class", F.col("text").cast("binary").alias("text")).mapInArrow(
+        made, "class long, n long, own binary, sketch binary, short array<long>"
+    )
+    one = sets.agg(F.min("class")).first()[0]
+    placed = sets.select(F.lit(1).alias("key"), "class", "n", F.col("class").alias("component"), F.lit(one).alias("main"))
+    found = {frozenset(r) for r in jaccard_join._all_pairs(placed, sets, 80).collect()}
+    own = {c: word_set(t) for c, t in texts.collect()}
+    similar = {frozenset((a, b)) for a in own for b in own if a < b and 100 * len(own[a] & own[b]) >= 80 * len(own[a] | own[b])}
+    assert similar <= found
+    assert len(found) < 2 * len(similar) < 80 * 79 / 2 / 4
+    verified = jaccard_join._verified(jaccard_join._all_pairs(placed, sets, 80), sets, 80)
+    assert {frozenset(r) for r in verified.collect()} == similar
+
+
+@pytest.mark.parametrize("sent", [0, 1_000_000])
+def test_only_the_sets_of_pairs_are_read(spark, sent, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "_SENT", sent)
+    sets = spark.createDataFrame([(k, k) for k in range(9)], "class long, n long")
+    pairs = spark.createDataFrame([(1, 2), (2, 5), (1, 5)], "a long, b long")
+    found = {r["class"] for r in jaccard_join._only(sets, pairs).collect()}
+    assert found == ({1, 2, 5} if sent else set(range(9)))
+
+
+def test_batches_of_sets_are_small_and_arrow_gives_back(monkeypatch):
+    given = []
+    pool = type("Pool", (), {"release_unused": lambda self: given.append(1)})()
+    monkeypatch.setattr(rows.pa, "default_memory_pool", lambda: pool)
+    texts = [prose(30_000, 40_000 * k).encode() for k in range(40)]
+    names = [jaccard_join._signature(jaccard_join._set_of(t, 5)) for t in texts]
+    batch = pa.RecordBatch.from_arrays([pa.array(names), pa.array(texts, pa.binary())], names=["class", "text"])
+    made = list(jaccard_join._whole_sets(jaccard_join.Settings())([batch]))
+    assert [x for b in made for x in b["class"].to_pylist()] == names
+    assert len(made) > 1 and max(b.nbytes for b in made) < 2 * jaccard_join._BATCH
+    assert given == [1]
+    started = jaccard_join._whole_sets(jaccard_join.Settings())([batch])
+    next(started)
+    started.close()
+    assert given == [1, 1]
+
+
 def test_word_hashes_do_not_depend_on_chunks(monkeypatch):
     text = ("Hello  the World\n foo É bar\t" * 30).encode()
     whole = shingles.word_hashes(text)

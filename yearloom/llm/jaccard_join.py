@@ -21,7 +21,8 @@ that such an entry meets, as measured.
 What a pair or a list brings together is a candidate. A sketch of each set, a
 few bits of parity for each shingle, gives a lower bound of the number of
 shingles in one set only; what it does not rule out is verified on the whole
-sets. Classes already linked need no verification among each other. So
+sets. A short sketch of one length goes into the last join itself, so near
+copies that are not similar enough never become rows there. Classes already linked need no verification among each other. So
 each round verifies the classes outside a list's largest component against a few
 members of that component, which settles large groups of near copies without
 all their pairs; a last round verifies whatever pairs of different components
@@ -38,7 +39,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from yearloom.llm.rows import fresh, quoted
+from yearloom.llm.rows import fresh, quoted, released
 from yearloom.llm.shingles import mixed, shingle_set, word_hashes
 from yearloom.scratch import remove, scratch_dir, settled
 
@@ -69,6 +70,12 @@ _MOST_LIGHT = 400
 _LEVELS = (2, 8, 64)
 #: Lists by which two sets tell whether they have met before.
 _NAMED = 64
+#: Numbers of 64 parities that stand for a set in the last join.
+_SHORT = 16
+#: Classes up to which they are sent, with an id at most, to all tasks that read sets or texts.
+_SENT = 1_000_000
+#: Bytes of sets in a batch.
+_BATCH = 4 << 20
 #: Shingles counted together in a task, and bytes of text for each range of hashes.
 _COUNTED, _RANGE = 1 << 19, 4 << 20
 
@@ -162,7 +169,7 @@ def _describe(settings: Settings, ranges: int, kind: pa.DataType):
             yield documents(classes, sizes, batch.column("doc_id"))
         yield from packed(counts)
 
-    return run
+    return released(run)
 
 
 def _several(packets: pa.Table) -> pa.Table:
@@ -259,7 +266,7 @@ def _place(sent, settings: Settings, light: int):
                 names=["key", "class", "n"],
             )
 
-    return run
+    return released(run)
 
 
 def _sketch(own: np.ndarray) -> bytes:
@@ -269,6 +276,13 @@ def _sketch(own: np.ndarray) -> bytes:
     return np.packbits((np.bincount(places, minlength=bits) & 1).astype(np.uint8)).tobytes()
 
 
+def _short_sketch(own: np.ndarray) -> np.ndarray:
+    """Parities of the shingles by the low bits of their hashes, as many for every set."""
+    places = (own & np.uint64(64 * _SHORT - 1)).astype(np.int64)
+    odd = (np.bincount(places, minlength=64 * _SHORT) & 1).astype(np.uint8)
+    return np.packbits(odd).view(np.int64)
+
+
 def _apart(a: np.ndarray, b: np.ndarray) -> int:
     """At least so many shingles are in one of the sets only, by their sketches."""
     if len(a) > len(b):
@@ -279,27 +293,37 @@ def _apart(a: np.ndarray, b: np.ndarray) -> int:
 
 
 def _whole_sets(settings: Settings):
+    def batch_of(found, sets):
+        short = np.concatenate([_short_sketch(s) for s in sets])
+        return pa.RecordBatch.from_arrays(
+            [pa.array(found, pa.int64()),
+             pa.array([len(s) for s in sets], pa.int64()),
+             pa.array([s.tobytes() for s in sets], pa.binary()),
+             pa.array([_sketch(s) for s in sets], pa.binary()),
+             pa.ListArray.from_arrays(np.arange(len(sets) + 1, dtype=np.int32) * _SHORT, pa.array(short))],
+            names=["class", "n", "own", "sketch", "short"],
+        )
+
     def run(batches):
-        # The rows of one id are in one task. Of a repeated one the first with the
+        # The rows of one class are in one task. Of a repeated id the first with the
         # asked set counts, as other texts may share the id.
         seen = set()
         for batch in batches:
-            found, sets = [], []
+            found, sets, size = [], [], 0
             for name, text in zip(batch.column("class").to_pylist(), _texts(batch)):
                 own = _set_of(text, settings.words)
                 if name not in seen and _signature(own) == name:
                     seen.add(name)
                     found.append(name)
                     sets.append(own)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(found, pa.int64()),
-                 pa.array([len(s) for s in sets], pa.int64()),
-                 pa.array([s.tobytes() for s in sets], pa.binary()),
-                 pa.array([_sketch(s) for s in sets], pa.binary())],
-                names=["class", "n", "own", "sketch"],
-            )
+                    size += own.nbytes
+                if size >= _BATCH:
+                    yield batch_of(found, sets)
+                    found, sets, size = [], [], 0
+            if sets:
+                yield batch_of(found, sets)
 
-    return run
+    return released(run)
 
 
 def _possible(percent: int):
@@ -313,7 +337,7 @@ def _possible(percent: int):
             ]
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return run
+    return released(run)
 
 
 def _similar(percent: int):
@@ -329,21 +353,35 @@ def _similar(percent: int):
                 keep.append(100 * common >= percent * (len(x) + len(y) - common))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return run
+    return released(run)
+
+
+def _only(sets: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The sets that occur in ``pairs``; the others are left where they are stored.
+
+    Of very many pairs, all sets: most are needed then.
+    """
+    asked = pairs.select(F.col("a").alias("class")).unionAll(pairs.select("b")).distinct()
+    asked = settled(asked, "asked-sets")
+    if asked.count() > _SENT:
+        return sets
+    return sets.join(F.broadcast(asked), "class", "left_semi")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Those of the pairs ``a``, ``b`` whose sets are similar, stored."""
 
-    def beside(pairs: DataFrame, *what: str) -> DataFrame:
+    def beside(pairs: DataFrame, sets: DataFrame, *what: str) -> DataFrame:
         for side in "ab":
             own = sets.select(F.col("class").alias(side), *[F.col(c).alias(f"{side}_{c}") for c in what])
             pairs = pairs.join(own, side)
         return pairs.select("a", "b", *[f"{side}_{c}" for side in "ab" for c in what])
 
-    near = beside(pairs, "n", "sketch")
+    pairs = settled(pairs, "pairs")
+    near = beside(pairs, _only(sets, pairs), "n", "sketch")
     near = settled(near.mapInArrow(_possible(percent), "a long, b long"), "possible-links")
-    return settled(beside(near, "own").mapInArrow(_similar(percent), "a long, b long"), "links")
+    found = beside(near, _only(sets, near), "own").mapInArrow(_similar(percent), "a long, b long")
+    return settled(found, "links")
 
 
 def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
@@ -398,21 +436,24 @@ def _comparable(percent: int) -> Column:
     return F.least("a_n", "b_n") * 100 >= F.greatest("a_n", "b_n") * percent
 
 
-def _open_lists(members: DataFrame, labels: DataFrame) -> DataFrame:
+def _open_lists(members: DataFrame, labels: DataFrame | None) -> DataFrame:
     """The members of lists of several components, beside the largest of these.
 
-    The other lists have nothing to find, now or later.
+    The other lists have nothing to find, now or later. Without ``labels`` each
+    class is a component of its own.
     """
-    known = members.join(labels, "class")
-    largest = (
-        known.groupBy("key", "component")
-        .agg(F.count("*").alias("size"))
-        .groupBy("key")
-        .agg(F.max_by("component", F.struct("size", "component")).alias("main"), F.count("*").alias("parts"))
-        .filter("parts > 1")
-        .drop("parts")
-    )
-    largest = settled(largest, "main-components")
+    if labels is None:
+        known = members.withColumn("component", F.col("class"))
+        largest = members.groupBy("key").agg(F.max("class").alias("main"), F.count("*").alias("parts"))
+    else:
+        known = members.join(labels, "class")
+        largest = (
+            known.groupBy("key", "component")
+            .agg(F.count("*").alias("size"))
+            .groupBy("key")
+            .agg(F.max_by("component", F.struct("size", "component")).alias("main"), F.count("*").alias("parts"))
+        )
+    largest = settled(largest.filter("parts > 1").drop("parts"), "main-components")
     return settled(known.join(largest, "key"), "open-members")
 
 
@@ -433,21 +474,31 @@ def _round_pairs(placed: DataFrame, pivots: int, number: int, percent: int) -> D
     return pairs.select("a", "b").distinct()
 
 
-def _all_pairs(placed: DataFrame, percent: int) -> DataFrame:
+def _close(percent: int) -> Column:
+    """Whether the short sketches leave it open that ``a`` and ``b`` are similar."""
+    differ = sum(
+        (F.bit_count(F.col("a_short")[i].bitwiseXOR(F.col("b_short")[i])) for i in range(_SHORT)), F.lit(0)
+    )
+    return differ * (100 + percent) <= (F.col("a_n") + F.col("b_n")) * (100 - percent)
+
+
+def _all_pairs(placed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """All pairs of different components in any list, of which one is outside its largest.
 
-    Two sets may meet in many lists. They are a pair in the first of those that
-    both name among some of their lists, and in all if they name none alike.
+    Pairs that their short sketches rule out are left out. Two sets may meet in
+    many lists. They are a pair in the first of those that both name among some
+    of their lists, and in all if they name none alike.
     """
     some = placed.groupBy("class").agg(
         F.slice(F.sort_array(F.collect_set("key")), 1, _NAMED).alias("some")
     )
-    placed = settled(placed.join(some, "class"), "last-members")
+    placed = placed.join(some, "class").join(sets.select("class", "short"), "class")
+    placed = settled(placed, "last-members")
     sides = [
         placed.select(
             F.col("key").alias(f"{side}_key"), F.col("class").alias(side), F.col("n").alias(f"{side}_n"),
             F.col("component").alias(f"{side}_part"), F.col("main").alias(f"{side}_main"),
-            F.col("some").alias(f"{side}_some"),
+            F.col("some").alias(f"{side}_some"), F.col("short").alias(f"{side}_short"),
         )
         for side in "ab"
     ]
@@ -455,7 +506,7 @@ def _all_pairs(placed: DataFrame, percent: int) -> DataFrame:
     first = F.array_min(F.array_intersect("a_some", "b_some"))
     # Two sets outside are beside each other twice.
     once = (F.col("b_part") == F.col("b_main")) | (F.col("a") < F.col("b"))
-    apart = (F.col("a_part") != F.col("b_part")) & once & _comparable(percent)
+    apart = (F.col("a_part") != F.col("b_part")) & once & _comparable(percent) & _close(percent)
     pairs = outside.join(
         sides[1],
         (F.col("a_key") == F.col("b_key")) & apart & (first.isNull() | (first == F.col("a_key"))),
@@ -512,20 +563,22 @@ def linked_classes(
 
     # The whole sets of the classes that meet another one, from one document each.
     chosen = settled(nodes.join(classes, "class").select("class", "first_id"), "chosen")
+    if chosen.count() <= _SENT:  # the other texts are not shuffled then
+        chosen = F.broadcast(chosen)
     own = texts.join(chosen, F.col("doc_id").eqNullSafe(F.col("first_id"))).select("class", "text")
-    sets = own.mapInArrow(_whole_sets(settings), "class long, n long, own binary, sketch binary")
+    sets = own.repartition("class").mapInArrow(_whole_sets(settings), "class long, n long, own binary, sketch binary, short array<long>")
     sets = settled(sets, "sets")
 
     labels = nodes.select("class", F.col("class").alias("component"))
     for number, pivots in enumerate(settings.pivots):
-        placed = _open_lists(members, labels)
+        placed = _open_lists(members, labels if number else None)
         members = placed.select("key", "class", "n")
         pairs = _round_pairs(placed, pivots, number, settings.percent)
         found = _verified(pairs, sets, settings.percent)
         if not found.head(1):
             break
         labels = _merged(labels, found)
-    pairs = _all_pairs(_open_lists(members, labels), settings.percent)
+    pairs = _all_pairs(_open_lists(members, labels), sets, settings.percent)
     found = _verified(pairs, sets, settings.percent)
     if found.head(1):
         labels = _merged(labels, found)
