@@ -291,6 +291,23 @@ def test_word_ids_are_those_of_the_whole_text():
         assert own.ids(t) == np.array(whole.encode(t, add_special_tokens=False).ids, "<u4").tobytes()
 
 
+def test_plain_words_are_merged_without_the_patterns():
+    tokenizers = pytest.importorskip("tokenizers")
+    from yearloom.llm.tokens import WordTokenizer
+
+    path = P.path("word_bpe_49k.json")
+    whole, own = tokenizers.Tokenizer.from_file(path), WordTokenizer(path)
+    full, cut = own._encode, []
+    own._encode = lambda words, **more: cut.extend(words) or full(words, **more)
+    ids = lambda texts: [np.array(whole.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    plain = ["alpha Été, gamma***", "", "beta. alpha, été*** ß\nÿ..."]
+    assert own.ids_of(plain) == ids(plain)
+    assert sorted(cut) == ["***", ",", ".", "..."]
+    odd = ["dogs' don't x'. 's a's.", "a<|endoftext|> <|endoftext|>. b", "e\u0301té <\u0338 ª ﬁn", "a.b (c) d\u00a0e", "\x1c"]
+    assert own.ids_of(odd) == ids(odd)
+    assert own.ids_of([]) == []
+
+
 def plain_verdicts(texts, pieces, settings):
     """Whether each (text, language) is kept, with bands from all sound ones."""
     names, failed, figures = [], [], []

@@ -13,7 +13,7 @@ Lengths for which no multiset fills the window are laid end to end and cut at
 the window's capacity, so that only the very last window can be short.
 """
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -33,6 +33,7 @@ BROADCAST_ROWS = 1_000_000
 _PIECE = "doc_id {id}, doc_tokens long, start long, length int, nth long, task int, ids binary"
 _PLACED = "doc_id {id}, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 _BATCH_BYTES = 4 << 20
+_TEXTS_AT_ONCE = 1 << 18
 
 
 def _reach(lengths: list[int], counts: list[int], target: int) -> list[int]:
@@ -136,6 +137,18 @@ def place(plan: Plan, length: int, numbers: np.ndarray) -> tuple[np.ndarray, np.
     return sequence, offset
 
 
+def _ids(tokenizer: WordTokenizer, texts: pa.Array) -> Iterator[bytes]:
+    """The ids of each text, of so many at a time that they hold ``_TEXTS_AT_ONCE`` code points."""
+    together, size = [], 0
+    for text in texts:
+        together.append(text.as_py() or "")
+        size += len(together[-1])
+        if size >= _TEXTS_AT_ONCE:
+            yield from tokenizer.ids_of(together)
+            together, size = [], 0
+    yield from tokenizer.ids_of(together)
+
+
 def _cut_into_pieces(tokenizer: Callable[[], WordTokenizer], capacity: int, end_id: int):
     def run(batches):
         own, end = tokenizer(), np.array([end_id], "<u4").tobytes()
@@ -143,8 +156,8 @@ def _cut_into_pieces(tokenizer: Callable[[], WordTokenizer], capacity: int, end_
         for batch in batches:
             column, kind = batch.column("doc_id").to_pylist(), batch.column("doc_id").type
             rows, size = [], 0
-            for doc_id, text in zip(column, batch.column("text")):
-                ids = own.ids(text.as_py() or "") + end
+            for doc_id, ids in zip(column, _ids(own, batch.column("text"))):
+                ids += end
                 total = len(ids) // 4
                 for start in range(0, total, capacity):
                     length = min(capacity, total - start)
