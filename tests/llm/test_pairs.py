@@ -296,6 +296,26 @@ def test_edited_copies_lose_what_occurs_twice(spark):
         assert [(r.start, r.end) for r in found[i]] == list(zip(edge[::2], edge[1::2]))
 
 
+def test_passages_of_many_words_go_from_400_bytes_on(spark):
+    rng = np.random.default_rng(11)
+
+    def letters(n):
+        return bytes(rng.integers(98, 123, n, np.uint8)).decode()
+
+    texts, expected = [letters(2000)], [0]
+    for size, last in ((399, "a"), (400, "a"), (901, "a"), (399, "é"), (401, "é")):
+        passage = " ".join(letters(4) for _ in range(60))
+        passage = f" {passage}{last * ((size - 301) // len(last.encode()))} "
+        assert len(passage.split()) == 60 and len(passage.encode()) == size
+        texts += [f"{letters(300)}{c}{passage}{c}{letters(300)}" for c in "XY"]
+        expected += [size if size >= 400 else 0] * 2
+    docs = documents(spark, list(enumerate(texts)))
+    found = sorted(substring_dedup.summary(substring_dedup.remove_repeated(docs)).collect())
+    assert [r.n_removed for r in found] == expected
+    assert [r.n_spans for r in found] == [int(n > 0) for n in expected]
+    assert [r.n_bytes for r in found] == [len(t.encode()) for t in texts]
+
+
 def test_run_index_statistics():
     rng = np.random.default_rng(4)
     for _ in range(20):
